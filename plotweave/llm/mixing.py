@@ -26,7 +26,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap
     """``skey, source_size, target, passes, rest`` per source; ``sizes`` has ``skey, size``.
 
     Water filling: a source stops at ``cap`` times its size and what it can't take is shared by weight among the
-    others, until none is above. Sources by rising cap/weight stop first, so prefix sums find the level directly.
+    others, until none is above. Sources by rising cap/weight stop first, so prefix sums find the level directly: of the
+    levels that leave their own source uncapped, the highest is the one that stops the fewest.
     One row per source meets in one task here, never documents.
     """
     per = sizes.groupBy("skey").agg(F.sum("size").alias("source_size"))
@@ -40,7 +41,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap
            .withColumn("limits_before", F.coalesce(F.sum("limit").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
            .withColumn("weights_left", F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))))
     per = per.withColumn("level", (F.col("total") - F.col("limits_before")) / F.col("weights_left"))
-    per = per.withColumn("level", F.min(F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.col("level")))
+    per = per.withColumn("level", F.max(F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.col("level")))
                          .over(Window.partitionBy()))
     target = F.least("limit", F.coalesce(F.col("level") * F.col("weight"), F.col("limit")))
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -104,7 +105,7 @@ WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, '')
                   CAST(source_size AS DOUBLE) * 2 AS lim, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5e0 AS total FROM s),
      l AS (SELECT *, (total - coalesce(sum(lim) OVER (ORDER BY lim / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
                      / sum(weight) OVER (ORDER BY lim / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl FROM w),
-     t AS (SELECT *, least(lim, coalesce(min(lvl) FILTER (WHERE lvl * weight <= lim) OVER () * weight, lim)) AS target FROM l),
+     t AS (SELECT *, least(lim, coalesce(max(lvl) FILTER (WHERE lvl * weight <= lim) OVER () * weight, lim)) AS target FROM l),
      p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
      c AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.passes, p.target - p.passes * p.source_size AS rest,
                   CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h) AS BIGINT) AS upto,
