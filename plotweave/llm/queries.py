@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, exact_dedup, license_scan, line_dedup, mixing, simhash, token_counts, toxicity
+from . import decontaminate, exact_dedup, license_scan, line_dedup, mixing, pii, simhash, substring_dedup, token_counts, toxicity
 from ._shared import documents
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup_substrings(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
@@ -26,6 +32,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(documents(spark, sf_dir))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -48,7 +58,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op2_token_counts, op3_exact_dedup, op4_license_scan, op5_mixing, op7_toxicity, op8_decontamination,
+        op1_substring_dedup, op2_token_counts, op3_exact_dedup, op4_license_scan, op5_mixing, op6_pii, op7_toxicity, op8_decontamination,
         op9_line_dedup, op10_simhash, pipeline)}
 
 
