@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
+from .plans.registering import QUERIES, TWINS
+
+for _name in ("plots", "flights", "photos"):
+    import_module(f".plans.{_name}", __package__)
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(TWINS)
