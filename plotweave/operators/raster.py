@@ -42,10 +42,10 @@ def grey_opening(raster: DataFrame, value: str, size: int, by: tuple[str, ...] =
 
 
 def local_std(raster: DataFrame, value: str, reach: int = 2, by: tuple[str, ...] = (), least: int = 3) -> DataFrame:
-    """Mean and standard deviation of the cells present within ``reach``, by two separable passes of sums.
+    """Mean and standard deviation of the cells present within ``reach``, by two separable passes of sums over the dense extent.
 
-    NULL with fewer than ``least`` cells: a hole never spreads beyond its neighbours."""
-    df = raster.withColumn("__n", F.when(F.col(value).isNotNull(), 1).otherwise(0)).withColumn("__s", F.coalesce(value, F.lit(0.0)))
+    Result: the raster's own cells; NULL with fewer than ``least`` cells: a hole never spreads beyond its neighbours."""
+    df = dense(raster, value, by).withColumn("__n", F.when(F.col(value).isNotNull(), 1).otherwise(0)).withColumn("__s", F.coalesce(value, F.lit(0.0)))
     df = df.withColumn("__q", F.col("__s") * F.col("__s"))
     for axis in ("col", "row"):
         for c in ("__n", "__s", "__q"):
@@ -53,7 +53,7 @@ def local_std(raster: DataFrame, value: str, reach: int = 2, by: tuple[str, ...]
         df = df.drop("__n", "__s", "__q").withColumnsRenamed({f"{c}2": c for c in ("__n", "__s", "__q")})
     mean = F.col("__s") / F.col("__n")
     ok = F.col("__n") >= least
-    return (df.withColumn("local_mean", F.when(ok, mean))
+    return (df.filter(F.col(value).isNotNull()).withColumn("local_mean", F.when(ok, mean))
             .withColumn("local_std", F.when(ok, F.sqrt(F.greatest(F.col("__q") / F.col("__n") - mean * mean, F.lit(0.0)))))
             .drop("__n", "__s", "__q"))
 
@@ -96,8 +96,8 @@ def near(mask: DataFrame, cells: DataFrame, reach: float, by: tuple[str, ...] =
 def nearest_fill(raster: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Holes take the value of the Euclidean nearest cell; ties go to the smaller row, then column.
 
-    Pass one finds each cell's nearest filled cells within its row by windows. Pass two needs, per cell, the best over
-    the rows of its column; rows are sent outwards in rings that double until every hole is settled."""
+    Pass one finds each cell's nearest filled cell within its row by windows; pass two takes, for each cell, the best of
+    these over the rows of its column. Memory and work are bounded by a raster's height a column (a tile's, if tiled)."""
     df = dense(raster, value, by)
     row = Window.partitionBy(*by, "row").orderBy("col")
     back = F.last(F.when(F.col(value).isNotNull(), F.struct("col", value)), ignorenulls=True).over(row.rowsBetween(Window.unboundedPreceding, 0))
@@ -112,7 +112,7 @@ def nearest_fill(raster: DataFrame, value: str, by: tuple[str, ...] = ()) -> Dat
     df = df.withColumn("cands", column.over(col_w))
     best = F.array_min(F.transform("cands", lambda s: F.struct(
         ((s["r"] - F.col("row")) * (s["r"] - F.col("row")) + s["dx"] * s["dx"]).alias("d"), s["r"].alias("r"), s["c"].alias("c"), s["v"].alias("v"))))
-    return df.select(*by, "row", "col", F.coalesce(F.col(value), best["v"]).alias(value))
+    return df.select(*by, "row", "col", F.coalesce(F.col(value), best["v"]).alias(value))  # a cell that has a value is its own nearest
 
 
 def otsu(values: DataFrame, value: str, by: tuple[str, ...] = (), bins: int = 256) -> DataFrame:
