@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .plans.registering import QUERIES, TWINS
 
-for _name in ("plots", "flights", "photos", "surfaces"):
+for _name in ("plots", "flights", "photos", "surfaces", "views_and_fits", "streams"):
     import_module(f".plans.{_name}", __package__)
 
 
