@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import ALNUM, text_key, whole_text
+from ._shared import text_key, whole_text
 
 #: A-Z to a-z; whatever is neither letter, digit nor beyond ASCII becomes a blank.
 FOLD = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-WORD_BYTES = re.compile(ALNUM.encode())
+FOLDED_WORD = re.compile(b"[^ ]+")
 
 
 def folded_words(text: bytes | None) -> list[bytes]:
@@ -214,7 +214,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> Da
 
 def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """``text`` without the words of the spans, from each span's first letter to its last."""
-    places = [m.span() for m in WORD_BYTES.finditer(text)]
+    places = [m.span() for m in FOLDED_WORD.finditer(text.translate(FOLD))]
     out, at = [], 0
     for a, b in spans:
         out.append(text[at:places[a][0]])

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import materialise
+from ._shared import materialise, text_key
 from .components import connected_components
 
 SEED = 42
@@ -58,16 +58,16 @@ def simhash64(text: bytes | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a long) per row."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """``doc_id, tkey, fp`` (the 64 bits as a long) per row."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("tkey"), F.col(text_col).cast("string").alias("text"))
 
     def make(batches):
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             fps = np.fromiter((simhash64(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tkey"), pa.array(fps.view(np.int64))], names=["doc_id", "tkey", "fp"])
 
-    return rows.mapInArrow(make, T.StructType([rows.schema["doc_id"]]).add("fp", "long"))
+    return rows.mapInArrow(make, T.StructType([rows.schema["doc_id"], rows.schema["tkey"]]).add("fp", "long"))
 
 
 def band_masks(bands: int) -> list[int]:
@@ -213,6 +213,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     over links of ``max_distance`` bits or fewer (null only where all ids of a component are null). Rows with one id are
     rows of their own that share what their fingerprints reach. Empty input gives an empty result.
     """
+    groups = near_groups(docs, id_col, text_col, shingle, max_distance, bands, shard_size, sample)
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2,
+                bands: int = 2, shard_size: int = 16_384, sample: int = 8_192) -> DataFrame:
+    """``doc_id, tkey, fp, root, component_id`` per row; ``root`` is the smallest fingerprint of the component."""
     if not 1 <= bands <= 64:
         raise ValueError("bands: 1 to 64")
     made = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
@@ -223,22 +230,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     named = materialise(tied, "simhash-roots")
     firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    members = named.join(firsts, "root").select("fp", "component_id")
-    return made.join(members, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    members = named.join(firsts, "root").select("fp", "root", "component_id")
+    return made.join(members, "fp").select("doc_id", "tkey", "fp", "root", "component_id")
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: a row whose id is the group's smallest.
+    """``docs`` with one row of each near-duplicate group: a row whose id is the group's smallest (null if all are).
 
-    Rows that repeat this id are one document; the one of the smallest text stays. A group of null ids only keeps one.
+    Where several rows of the group repeat this id, one of them stays; groups never share a row, even if they share ids.
     """
-    groups = materialise(near_duplicates(docs, id_col, text_col, **options), "simhash-groups")
-    own = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
-    own = materialise(own, "simhash-own")
-    kept = own.select(F.col("doc_id").alias("__keep"))
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
-    if own.filter("count > 1").isEmpty():
-        return rows
+    groups = near_groups(docs, id_col, text_col, **options)
+    own = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(
+        F.min("tkey").alias("__tkey"), F.count(F.lit(1)).alias("n"))
+    own = materialise(own.select(F.col("doc_id").alias("__keep"), "__tkey", "n"), "simhash-own")
+    rows = docs.withColumn("__key", text_key(text_col))
+    same = F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__key") == F.col("__tkey"))
+    rows = rows.join(own.select("__keep", "__tkey"), same, "left_semi")
+    if own.filter("n > 1").isEmpty():
+        return rows.drop("__key")
     whole = F.struct(*[F.col(c) for c in docs.columns])
-    first = rows.groupBy(F.col(id_col).alias("__id")).agg(F.min_by(whole, F.struct(F.coalesce(text_col, F.lit("")), F.xxhash64(*docs.columns))).alias("__row"))
-    return first.select("__row.*")
+    one = rows.groupBy(F.col(id_col).alias("__id"), "__key").agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("__row"))
+    return one.select("__row.*")
