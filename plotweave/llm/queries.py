@@ -63,4 +63,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.SQL, "op5_mixing": mixing.SQL, "op9_line_dedup": line_dedup.SQL}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op4_license_scan": license_scan.sql(), "op5_mixing": mixing.SQL, "op9_line_dedup": line_dedup.SQL}
