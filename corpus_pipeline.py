@@ -30,9 +30,10 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes, with the number of times it takes them."""
+    """Documents that the mix takes, with the number of times it takes them (``mix_copies`` where ``copies`` is taken)."""
+    name = "mix_copies" if "copies" in docs.columns else "copies"
     plan = materialise(mixing.mix_sources(docs).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies")), "mix-plan")
-    ids = plan.withColumnRenamed("doc_id", "__id")
+    ids = plan.withColumnsRenamed({"doc_id": "__id", "copies": name})
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"])).drop("__id")
 
 
