@@ -45,6 +45,18 @@ def shuffle_cleanup(spark: SparkSession):
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within, an action's Arrow batches hold so many rows at most."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to a table of its own in the shared folder and read it back: this cuts the lineage, and the
     files outlive executors."""

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import shared_dir, shuffle_cleanup
+from ._shared import arrow_rows, shared_dir, shuffle_cleanup
 
 #: What a null id counts as: larger than any other.
 NO_ID = (1 << 63) - 1
@@ -46,7 +46,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class WindowHasher:
     """Two independent hashes, 64 and 32 bits, of every window of ``size`` words."""
 
-    def __init__(self, size: int, cache: int = 400_000):
+    def __init__(self, size: int, cache: int = 100_000):
         self.size, self.cache = size, cache
         self.weights = [np.array(_odd_constants(size, s), np.uint64) for s in (1, 2)]
         self.seen: dict[bytes, int] = {}
@@ -173,7 +173,7 @@ def piece_runs(window: int, buckets: int, piece_bytes: int):
         hasher = WindowHasher(window)
         held = ([], [], [], [])
         size = 0
-        for batch in batches:
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
             for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tkey", "g", "text")), strict=True):
                 for part, value in zip(held, row, strict=True):
                     part.append(value)
@@ -183,6 +183,8 @@ def piece_runs(window: int, buckets: int, piece_bytes: int):
                     held, size = ([], [], [], []), 0
         if held[0]:
             yield from emit(hasher, *held)
+        del hasher, held
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return run
 
@@ -211,8 +213,13 @@ def merge_bucket(table: pa.Table) -> pa.Table:
         g.append(docs[2][owner].astype(np.int32))
         pos.append((at - docs[3][owner]).astype(np.uint32))
     key = fresh[0]["key"]
-    del fresh, rows
-    h, check, doc, tkey, g, pos = (np.concatenate(x) for x in (h, check, doc, tkey, g, pos))
+    del fresh, rows, table
+    h = np.concatenate(h)
+    check = np.concatenate(check)
+    doc = np.concatenate(doc)
+    tkey = np.concatenate(tkey)
+    g = np.concatenate(g)
+    pos = np.concatenate(pos)
     order, starts = _groups(h, check)
     sizes = np.diff(np.append(starts, len(h)))
     least = np.minimum.reduceat(doc[order], starts)
@@ -233,6 +240,7 @@ def merge_bucket(table: pa.Table) -> pa.Table:
     repeat = order[np.repeat(known, sizes) | (doc[order] > np.repeat(least, sizes))]
     out += _repeat_rows(int, g[repeat], doc[repeat], tkey[repeat], pos[repeat])
     new = ~known
+    del h, check, doc, tkey, g, pos, order, least, repeat
     out.append((HASHES, key, int(new.sum()), packed(own_h[new], True), packed(own_check[new]), b"", b""))
     return pa.Table.from_batches([_batch_of(out)])
 
@@ -256,7 +264,7 @@ class WindowIndex:
     """Runs under ``path``: each a table of its own, complete once its job has committed it."""
 
     def __init__(self, spark: SparkSession, path: str, window: int = 13, buckets: int = 16, fanout: int = 4,
-                 piece_bytes: int = 16 << 20):
+                 piece_bytes: int = 6 << 20):
         if buckets & (buckets - 1) or buckets < 1:
             raise ValueError("buckets: a power of two")
         self.spark, self.path, self.window, self.buckets = spark, path.rstrip("/"), window, buckets
@@ -296,7 +304,7 @@ class WindowIndex:
         if not keep:
             merged = merged.filter(F.col("kind") == REPEATS)
         name = f"batch-{self._next():06d}"
-        with shuffle_cleanup(self.spark):
+        with shuffle_cleanup(self.spark), arrow_rows(self.spark, 1000):  # whole texts are long rows
             merged.write.partitionBy("kind").parquet(f"{self.path}/{name}")
         if keep and len(past) + 1 > self.fanout:
             self.compact()
@@ -361,7 +369,7 @@ def cut_repeats(window: int):
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, batches: int = 3,
-                     bucket_windows: int = 3_000_000, piece_bytes: int = 16 << 20) -> DataFrame:
+                     bucket_windows: int = 1_500_000, piece_bytes: int = 6 << 20) -> DataFrame:
     """One row per input row: ``doc_id, text, n_words, n_removed``; kept words are joined by a blank.
 
     A word goes if a window over it also starts in a document of a smaller id. Words are cut at blank and \\x09-\\x0D; a
@@ -375,7 +383,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     marks = [k / batches for k in range(1, batches)]
     told = rows.agg(F.sum(F.length("text")), F.percentile_approx(ordered, F.array(*[F.lit(m) for m in marks]), F.lit(1000)) if marks else F.lit(None)).first()
     size, bounds = told[0] or 0, sorted(set(told[1] or []))
-    groups = max(1, -(-size // (12 << 20)))
+    groups = max(1, -(-size // (4 << 20)))
     buckets = 1 << max(0, int(np.ceil(np.log2(max(1, size / 6.4 / (len(bounds) + 1) / bucket_windows)))))
     rows = rows.select("doc_id", ordered.alias("ordered_id"), F.xxhash64("text").alias("tkey"), "text")
     rows = rows.withColumn("g", F.pmod(F.xxhash64("ordered_id", "tkey"), F.lit(groups)).cast("int"))
