@@ -11,8 +11,7 @@ from ..functions.numeric import feather
 def top_views(views: DataFrame, pixel: list[str], n: int = 2, weight: str = "w", rank: str = "k") -> DataFrame:
     """The ``n`` heaviest views of a pixel; ties keep the earlier camera, weight 0 never wins.
 
-    Views beyond the ``n`` best of each map task go before the shuffle: max_by-like partial aggregation on a bounded
-    array isn't at hand, so the window's own partial limit (rank <= n) does it."""
+    Spark pushes the limit on the rank below the exchange, so a map task sends at most ``n`` views a pixel."""
     w = Window.partitionBy(*pixel).orderBy(F.desc(weight), F.asc(rank))
     return views.filter(F.col(weight) > 0).withColumn("place", F.row_number().over(w)).filter(F.col("place") <= n)
 
