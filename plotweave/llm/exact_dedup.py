@@ -31,7 +31,7 @@ def sha256_hex(content: Column) -> Column:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 32,
                 digest: Callable[[Column], Column] = sha256_hex) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256`` (plus ``digest``-named columns never).
+    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Null text counts as empty. A null id never wins against another id; a group of null ids only keeps null.
     Repeated rows (same id, same text) are one document told twice: all are marked kept, each counts in
