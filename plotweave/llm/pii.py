@@ -34,15 +34,15 @@ _NONE = f"array<{SPAN}>"
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches with their places in code points: array of (start, end, text, before, after)."""
     parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_NONE).alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends"))
 
-    def step(acc: Column, i: Column) -> Column:
-        a = acc["at"] + F.length(F.get(parts, i))
-        b = a + F.length(F.get(found, i))
-        span = F.struct(a.alias("start"), b.alias("end"), F.get(found, i).alias("text"))
-        return F.struct(b.alias("at"), F.array_append(acc["out"], span).alias("out"))
+    def step(acc: Column, x: Column) -> Column:
+        end = acc["at"] + F.length(x["0"]) + F.length(x["1"])
+        return F.when(x["1"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.array_append(acc["ends"], end).alias("ends")))
 
-    return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda acc: acc["out"])
+    # zipped, both are worked out once; inside the lambda they would be at every step
+    ends = F.aggregate(F.arrays_zip(parts, found), start, step, lambda acc: acc["ends"])
+    return F.zip_with(ends, found, lambda e, m: F.struct((e - F.length(m)).alias("start"), e.alias("end"), m.alias("text")))
 
 
 def _guarded(text: Column, pattern: str, hint: Column) -> Column:
@@ -62,16 +62,23 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def _neighbourhoods(candidates: Column, parts: Column, base: Column) -> Column:
+    """For each candidate its place, the stretches of text on either side (200 characters at most: a pattern is two
+    words), and whether a base span meets it. Small rows, so that exploding them stays linear."""
+    n = F.size(candidates)
+    zipped = F.arrays_zip(candidates, F.slice(parts, 1, n), F.slice(parts, 2, n))
+    return F.transform(zipped, lambda x: F.struct(
+        x["candidates"]["start"].alias("start"), x["candidates"]["end"].alias("end"), ascii_lower(x["candidates"]["text"]).alias("instance"),
+        ascii_lower(F.right(x["1"], F.lit(200))).alias("before"), ascii_lower(F.left(x["2"], F.lit(200))).alias("after"),
+        F.exists(base, lambda s: (s["start"] < x["candidates"]["end"]) & (s["end"] > x["candidates"]["start"])).alias("seed")))
+
+
 def _occurrences(found: DataFrame) -> DataFrame:
     """A row for each identifier-like token: where it stands, whether a base span meets it, and its two patterns."""
-    near = found.select("doc_id", "tkey", "base", F.posexplode("candidates").alias("i", "c"), "parts")
-    before = ascii_lower(F.right(F.get("parts", F.col("i")), F.lit(200)))
-    after = ascii_lower(F.left(F.get("parts", F.col("i") + 1), F.lit(200)))
-    near = near.select("doc_id", "tkey", F.col("c.start").alias("start"), F.col("c.end").alias("end"),
-                       ascii_lower(F.col("c.text")).alias("instance"),
-                       F.exists("base", lambda s: (s["start"] < F.col("c.end")) & (s["end"] > F.col("c.start"))).alias("seed"),
-                       F.split(F.rtrim(F.regexp_replace(before, f"[{_S}]+", " ")), " ").alias("left"),
-                       F.split(F.ltrim(F.regexp_replace(after, f"[{_S}]+", " ")), " ").alias("right"))
+    near = found.select("doc_id", "tkey", F.explode("near").alias("c")).select("doc_id", "tkey", "c.*")
+    near = near.select("doc_id", "tkey", "start", "end", "instance", "seed",
+                       F.split(F.rtrim(F.regexp_replace("before", f"[{_S}]+", " ")), " ").alias("left"),
+                       F.split(F.ltrim(F.regexp_replace("after", f"[{_S}]+", " ")), " ").alias("right"))
     word = lambda side, k: F.coalesce(F.try_element_at(side, F.lit(k)), F.lit(""))
     two = F.concat(F.lit("L "), word("left", -2), F.lit(" "), word("left", -1))
     around = F.concat(F.lit("C "), word("left", -1), F.lit(" _ "), word("right", 1))
@@ -108,10 +115,11 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     rows = rows.select("doc_id", "tkey", *[c.alias(k) for k, c in spans.items()],
                        _guarded(F.col("text"), CANDIDATE, F.lit(True)).alias("candidates"),
                        F.when(F.col("text").rlike(CANDIDATE), F.split("text", CANDIDATE, -1)).alias("parts"))
-    # whatever is needed later, without the texts: words around candidates and places
-    short = F.transform("parts", lambda p: F.when(F.length(p) > 400, F.concat(F.left(p, F.lit(200)), F.right(p, F.lit(200)))).otherwise(p))
-    found = materialise(rows.withColumn("parts", short).withColumn("base", F.concat(*KINDS)), "pii-found")
-    seen = _occurrences(found.filter(F.size("candidates") > 0))
+    rows = rows.withColumn("base", F.concat(*KINDS))
+    near = F.when(F.size("candidates") > 0, _neighbourhoods(F.col("candidates"), F.col("parts"), F.col("base")))
+    # whatever is needed later, without the texts
+    found = materialise(rows.select("doc_id", "tkey", *KINDS, near.alias("near")), "pii-found")
+    seen = _occurrences(found.filter("near IS NOT NULL"))
     edges = (seen.select(F.explode("patterns").alias("pattern"), "instance", "seed")
              .groupBy("pattern", "instance").agg(F.bool_or("seed").alias("seed")))
     strong = score_patterns(edges, rounds, support).filter(F.col("confidence") >= confidence).select("pattern")
