@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotweave.llm import decontaminate, line_dedup, mixing, simhash, toxicity
+from plotweave.llm import decontaminate, line_dedup, mixing, near_shingles, toxicity
 from plotweave.llm._shared import documents, materialise
 
 
@@ -20,8 +20,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
-    return simhash.keep_representatives(docs)
+    """One document of each group of near copies stays: five-word shingles, Jaccard similarity 0.8 or more."""
+    return near_shingles.keep_representatives(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -239,7 +239,11 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Where several rows of the group repeat this id, one of them stays; groups never share a row, even if they share ids.
     """
-    groups = near_groups(docs, id_col, text_col, **options)
+    return keep_first(docs, near_groups(docs, id_col, text_col, **options), id_col, text_col)
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with one row of each of ``groups`` (``doc_id, tkey, root, component_id``)."""
     own = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(
         F.min("tkey").alias("__tkey"), F.count(F.lit(1)).alias("n"))
     own = materialise(own.select(F.col("doc_id").alias("__keep"), "__tkey", "n"), "simhash-own")
