@@ -9,6 +9,7 @@ are counted first; beyond ``shard_words`` they are dealt into shards, one bounde
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import text_key, whole_text
+from ._shared import materialise, text_key, whole_text
 
 #: A-Z to a-z; whatever is neither letter, digit nor beyond ASCII becomes a blank.
 FOLD = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -142,12 +143,16 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(benchmark: DataFrame, id_col: str, text_col: str, window: int, shard_words: int):
-    """Bounded automata, one a shard; they are made one after another."""
+def _items(benchmark: DataFrame, id_col: str, text_col: str, shard_words: int) -> tuple[DataFrame, int]:
+    """``item, text`` and the number of shards."""
     items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
                              whole_text(text_col).cast("binary").alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = 1 + total // (2 * shard_words)  # a word takes two bytes at least, its separator included
+    return items, 1 + total // (2 * shard_words)  # a word takes two bytes at least, its separator included
+
+
+def automata(items: DataFrame, shards: int, window: int):
+    """Bounded automata, one a shard; they are made one after another."""
     for k in range(shards):
         part = items if shards == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == k)
         yield ItemAutomaton([(r["item"], bytes(r["text"])) for r in part.toLocalIterator()], window)
@@ -170,7 +175,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
     schema = T.StructType([rows.schema["doc_id"], rows.schema["tkey"]])
     schema = schema.add("n_words", "long").add("spans", SPANS).add("items", T.ArrayType(T.StringType()))
     parts = []
-    for automaton in automata(benchmark, item_id_col, item_text_col, window, shard_words):
+    for automaton in automata(*_items(benchmark, item_id_col, item_text_col, shard_words), window):
         shared = spark.sparkContext.broadcast(automaton)
 
         def scan(batches, shared=shared):
@@ -228,30 +233,59 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """``docs`` with every span of a benchmark window cut; documents covered beyond ``max_coverage`` go.
 
     Columns stay as they are; documents without hits, null texts included, stay untouched. Cutting may leave two halves
-    side by side; they are not searched again.
+    side by side; they are not searched again. Every shard of items reads the texts as they came; what the shards find in
+    a text is merged before its coverage is tested and it is cut once.
     """
     spark = docs.sparkSession
-    for automaton in automata(benchmark, item_id_col, item_text_col, window, shard_words):
+    items, shards = _items(benchmark, item_id_col, item_text_col, shard_words)
+
+    def cleaned(batch, found):
+        """``batch`` with ``found``, the merged spans of each row, cut."""
+        texts, keep = _texts(batch, text_col), []
+        for k, (text, spans) in enumerate(zip(texts, found, strict=True)):
+            if spans:
+                if sum(b - a for a, b in spans) > max_coverage * len(folded_words(text)):
+                    continue
+                texts[k] = cut_spans(text, spans)
+            keep.append(k)
+        at = batch.schema.get_field_index(text_col)
+        new = pa.array(texts, pa.binary()).cast(batch.schema.field(at).type)
+        return batch.set_column(at, batch.schema.field(at), new).take(pa.array(keep, pa.int64()))
+
+    if shards == 1:
+        shared = spark.sparkContext.broadcast(next(automata(items, shards, window)))
+
+        def clean(batches):
+            for batch in batches:
+                yield cleaned(batch, [shared.value.scan(folded_words(t))[0] for t in _texts(batch, text_col)])
+
+        return docs.mapInArrow(clean, docs.schema)
+
+    # spans depend on the text alone, so each distinct text hit has one row a shard; texts don't move with them
+    key = lambda: F.struct(text_key(text_col).alias("h"), F.length(whole_text(text_col)).alias("n"))
+    rows = docs.select(key().alias("key"), F.col(text_col).cast("string").alias("text"))
+    parts = []
+    for automaton in automata(items, shards, window):
         shared = spark.sparkContext.broadcast(automaton)
 
-        def clean(batches, shared=shared):
-            auto = shared.value
+        def scan(batches, shared=shared):
             for batch in batches:
-                texts, keep = _texts(batch, text_col), []
-                for k, text in enumerate(texts):
-                    words = folded_words(text)
-                    spans, _ = auto.scan(words)
-                    if spans:
-                        if sum(b - a for a, b in spans) > max_coverage * len(words):
-                            continue
-                        texts[k] = cut_spans(text, spans)
-                    keep.append(k)
-                at = batch.schema.get_field_index(text_col)
-                new = pa.array(texts, pa.binary()).cast(batch.schema.field(at).type)
-                yield batch.set_column(at, batch.schema.field(at), new).take(pa.array(keep, pa.int64()))
-
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+                spans = [[{"a": a, "b": b} for a, b in shared.value.scan(folded_words(t))[0]] for t in _texts(batch, "text")]
+                yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(spans, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))],
+                                                 names=["key", "spans"])
+
+        hits = rows.mapInArrow(scan, T.StructType([rows.schema["key"]]).add("spans", SPANS))
+        parts.append(materialise(hits.filter(F.size("spans") > 0).dropDuplicates(["key"]), "leak-spans"))
+        shared.unpersist()
+    every = reduce(DataFrame.unionByName, parts).groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("__spans"))
+    joined = docs.withColumn("__key", key()).join(every, F.col("__key") == F.col("key"), "left").select(*docs.columns, "__spans")
+
+    def cut(batches):
+        for batch in batches:
+            found = [_merged([(s["a"], s["b"]) for s in spans or ()]) for spans in batch.column("__spans").to_pylist()]
+            yield cleaned(batch.drop_columns(["__spans"]), found)
+
+    return joined.mapInArrow(cut, docs.schema)
 
 
 __all__ = ["ItemAutomaton", "contamination_report", "cut_spans", "decontaminate", "find_hits", "folded_words"]

@@ -146,6 +146,18 @@ def test_shards_of_items_agree_with_one_automaton(spark):
     assert a == b
 
 
+def test_decontaminate_with_shards_cuts_as_with_one(spark):
+    words = [f"x{k}" for k in range(16)]
+    bench = spark.createDataFrame([(k, " ".join(words[k:k + 8])) for k in range(9)], "item_id long, text string")
+    half = [(20 + k, " ".join(f"{c}{n}" for n in range(9))) for k, c in enumerate("abcd")]
+    bench = bench.union(spark.createDataFrame(half, bench.schema))
+    rows = [(1, "before it " + " ".join(words) + " and many more words that stand after it in this text here", "en", "s"),
+            (2, " ".join(t for _, t in half) + " few others", "en", "s"), (3, "clean", "en", "s"), (4, None, "en", "s"), (3, "clean", "en", "s")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    one, many = (sorted(((r.doc_id, r.text) for r in D.decontaminate(docs, bench, window=5, shard_words=n).collect()), key=str) for n in (10**6, 30))
+    assert many == one == sorted([(1, "before it  and many more words that stand after it in this text here"), (3, "clean"), (3, "clean"), (4, None)], key=str)
+
+
 def pieces_brute(word, begin, follow):
     n = p = 0
     while p < len(word):
