@@ -119,6 +119,13 @@ def test_classifier_learns_and_reads_whole_texts():
     assert ((0 <= whole.scores(texts)) & (whole.scores(texts) <= 1)).all()
 
 
+def test_every_training_language_counts():
+    rows = [(f"word{k} again{k} more{k}", k % 2, f"l{k:02d}") for k in range(40)]
+    m = X.train(rows, X.Settings(buckets=1 << 10, epochs=1))
+    assert m.langs == [f"l{k:02d}" for k in range(40)]
+    assert X.Scorer(m).logits([t for t, _, _ in rows])[1].tolist() == list(range(40))
+
+
 def test_gradients_reach_every_part():
     before = X.Settings(buckets=1 << 10, epochs=0)
     m0, m1 = X.train(labelled(60, 4), before), X.train(labelled(60, 4), X.Settings(buckets=1 << 10, epochs=1))
