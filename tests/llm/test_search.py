@@ -188,3 +188,25 @@ def test_token_counts(spark, tmp_path):
     docs = spark.createDataFrame([(1, "unaffable a ab zz", "en", "s"), (2, None, "en", "s")], SCHEMA)
     assert sorted(tuple(r) for r in T.count_tokens(docs, auto).collect()) == [(1, 4, 7, 1), (2, 0, 0, 0)]
     assert T.count_tokens(empty(spark), auto).count() == 0 and T.count_tokens(odd(spark), auto).count() == len(odd_rows())
+
+
+def test_default_vocabulary_cuts_every_word():
+    begin, follow = T.load_vocabulary()
+    auto = T.PieceAutomaton(begin, follow, T.has_byte_pieces())
+    assert auto.count("123") == 4  # the lone mark and three digits
+    assert auto.count("\U0001F9FF\U0001F9FF") == 1 + 8  # outside the vocabulary: the mark and four bytes each
+    whole, rest = set(begin), set(follow)
+
+    def brute(word):
+        n = at = 0
+        while at < len(word):
+            have = whole if n == 0 else rest
+            end = next((q for q in range(len(word), at, -1) if word[at:q] in have), None)
+            if n == 0 and end is None:
+                n = 1
+            else:
+                n, at = (n + 1, end) if end else (n + len(word[at].encode()), at + 1)
+        return n
+
+    for w in ("2024-05-06", "Привет", "Ωμέγα", "我们今天去公园", "naïve", "éclair", "(a", "x\U0001F9FFy7", "\u0e01"):
+        assert auto.count(w) == brute(w) > 0, w
