@@ -3,7 +3,8 @@
 Base entities (e-mail, IP address, card, phone) are the seeds. Every token that could be an identifier (it holds a digit
 or an at sign) is an instance, its neighbouring words are patterns: the two words before it, and the word on either side.
 Instances and patterns make a bipartite graph of the whole corpus. Seeds have score 1; in each round a pattern is scored
-by the share of its distinct instances that score, an instance by the noisy-or of its patterns. After the last round,
+by the share of its distinct instances that score, an instance by the noisy-or of its patterns, and the instances of
+patterns above ``confidence`` with ``support`` distinct seeds become seeds of the next round. After the last round,
 patterns above ``confidence`` with ``support`` distinct seeds or more mark the instances in their slots that no base
 pattern has found. All of this is DataFrame aggregation and equi-joins; counts are of distinct strings, so copies of a
 document lend a pattern no weight.
@@ -85,21 +86,24 @@ def _occurrences(found: DataFrame) -> DataFrame:
     return near.select("doc_id", "tkey", "start", "end", "instance", "seed", F.array(two, around).alias("patterns"))
 
 
-def score_patterns(edges: DataFrame, rounds: int = 3, support: int = 5) -> DataFrame:
+def score_patterns(edges: DataFrame, rounds: int = 3, support: int = 5, confidence: float = 0.8) -> DataFrame:
     """``edges``: distinct (pattern, instance, seed). Result: ``pattern, confidence, seeds`` of patterns with ``support``
-    distinct seed instances or more; fewer can't induce a pattern, so these take part in the graph alone."""
-    counted = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds")).filter(F.col("seeds") >= support)
-    edges = materialise(edges.join(counted, "pattern").select("pattern", "instance", "seed", "seeds"), "pii-edges")
-    scores = edges.select("pattern", "instance", "seeds", F.when(F.col("seed"), 1.0).otherwise(0.0).alias("score"))
+    distinct seed instances or more after the last round. Every edge takes part in every round; instances in the slots of
+    patterns at ``confidence`` with that support are seeds of the next round."""
+    edges = materialise(edges.select("pattern", "instance", "seed"), "pii-edges")
+    scores = edges.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(0.0))
     for k in range(rounds):
-        graded = scores.groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("confidence"), F.max("seeds").alias("seeds"))
+        graded = scores.groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("confidence"), F.count_if("seed").alias("seeds"))
         graded = materialise(graded, "pii-patterns")
         if k + 1 < rounds:
-            told = edges.join(graded.select("pattern", "confidence"), "pattern")
-            votes = told.groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("vote"))
-            scores = edges.join(votes, "instance").select(
-                "pattern", "instance", "seeds", F.when(F.col("seed"), 1.0).otherwise(F.col("vote")).alias("score"))
-    return graded
+            told = edges.join(graded.filter("confidence > 0"), "pattern")
+            strong = (F.col("seeds") >= support) & (F.col("confidence") >= confidence)
+            votes = told.groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("vote"),
+                                                 F.bool_or(strong).alias("found"))
+            seed = F.col("seed") | F.coalesce("found", F.lit(False))
+            scores = edges.join(votes, "instance", "left").select(
+                "pattern", "instance", seed.alias("seed"), F.when(seed, 1.0).otherwise(F.coalesce("vote", F.lit(0.0))).alias("score"))
+    return graded.filter(F.col("seeds") >= support)
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, support: int = 5,
@@ -122,7 +126,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     seen = _occurrences(found.filter("near IS NOT NULL"))
     edges = (seen.select(F.explode("patterns").alias("pattern"), "instance", "seed")
              .groupBy("pattern", "instance").agg(F.bool_or("seed").alias("seed")))
-    strong = score_patterns(edges, rounds, support).filter(F.col("confidence") >= confidence).select("pattern")
+    strong = score_patterns(edges, rounds, support, confidence).filter(F.col("confidence") >= confidence).select("pattern")
     more = (seen.filter(~F.col("seed")).select("doc_id", "tkey", "start", "end", F.explode("patterns").alias("pattern"))
             .join(strong, "pattern", "left_semi").groupBy("doc_id", "tkey")
             .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("context"))

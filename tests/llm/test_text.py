@@ -119,6 +119,14 @@ def test_classifier_learns_and_reads_whole_texts():
     assert ((0 <= whole.scores(texts)) & (whole.scores(texts) <= 1)).all()
 
 
+def test_found_instances_lend_support_to_patterns_without_seeds(spark):
+    first = [("one", f"a{k}", True) for k in range(20)] + [("one", "x0", False)]
+    hop = [("one", f"x{k}", False) for k in range(1, 4)] + [("two", f"x{k}", False) for k in range(4)] + [("two", f"a{k}", True) for k in range(4)]
+    edges = spark.createDataFrame(first + hop + [("weak", "z", False), ("weak", "a0", True)], "pattern string, instance string, seed boolean")
+    got = {r.pattern: r for r in P.score_patterns(edges).collect()}
+    assert set(got) == {"one", "two"} and got["two"].seeds == 8 and got["two"].confidence >= 0.8  # four seeds, four found
+
+
 def test_every_training_language_counts():
     rows = [(f"word{k} again{k} more{k}", k % 2, f"l{k:02d}") for k in range(40)]
     m = X.train(rows, X.Settings(buckets=1 << 10, epochs=1))
