@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -26,10 +27,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set to a default only where the session has none."""
+    """The folder that driver and executors share. Without one, only a session of a single machine gets a default."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = "/tmp/checkpoints/plotweave"
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{tempfile.gettempdir()}/checkpoints/plotweave"
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
@@ -83,8 +86,35 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def own_names(df: DataFrame, *wanted: str) -> list[str]:
+    """``wanted``, with underscores appended until no column of ``df`` is called so, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def column(name: str) -> Column:
+    """A top-level column, dots in its name included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def join_counted(big: DataFrame, small: DataFrame, key: str, rows: int, n: str = "n") -> DataFrame:
+    """Inner equi-join of ``big`` with ``small`` (one row a ``key``, which ``n`` of the ``rows`` of ``big`` have).
+
+    Keys with more than a thousandth of the rows, so fewer than a thousand, are broadcast; the rest is shuffled."""
+    share = rows // 1000 + 1
+    hot = small.filter(F.col(n) > share)
+    cold = small.filter(F.col(n) <= share)
+    return (big.join(F.broadcast(hot), key)
+            .unionByName(big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)))
+
+
 def whole_text(text: str | Column) -> Column:
-    return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+    return F.coalesce(column(text) if isinstance(text, str) else text, F.lit(""))
 
 
 def ascii_lower(text: Column) -> Column:

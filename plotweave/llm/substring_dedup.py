@@ -3,20 +3,24 @@
 The index is a list of sorted, immutable runs in the shared folder, dealt into buckets by hash range. A batch of
 documents goes through three steps:
 
-1. Pieces of about ``piece_bytes`` of text turn into sorted hash runs where they are read. A window that several
-   documents of a piece hold is settled there but for its smallest document, so a passage that a third of all
-   documents carry sends one entry a piece.
-2. Each bucket merges the batch's runs and merge-joins them with the historical runs. Equal hashes are verified by a
-   second, independent hash of the window's words. Windows of a smaller document or of history are repeats; new hashes
-   become a new immutable run, written by the same job.
-3. Runs beyond ``fanout`` are compacted into one.
+1. Pieces of about ``piece_bytes`` of text turn into sorted hash runs where they are read; a longer text goes in
+   stretches. A window that several documents of a piece hold is settled there but for its smallest document, so a
+   passage that a third of all documents carry sends one entry a piece. An entry is hash, check, document and place, at
+   most 32 bytes and about 15 packed; nothing else travels with it, so the bytes sent stay in proportion to the windows
+   however many pieces and buckets there are.
+2. Each bucket merges the batch's runs and merge-joins them with the historical runs, one at a time. Equal hashes are
+   verified by a second, independent hash of the window's words. Windows of a smaller document or of history are
+   repeats; new hashes become a new immutable run, written by the same job.
+3. Where that would make more than ``fanout`` runs, the job writes history and new hashes as one run instead, which
+   replaces the others: compaction reads and shuffles nothing that the merge has not read already.
 
 Batches come in order of ids, so history always stands for smaller ids. At last, words under repeated windows are cut
-from the texts, which meet their repeats by a hash of the row.
+from the texts, which meet their repeats by id.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
@@ -25,12 +29,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import arrow_rows, shared_dir, shuffle_cleanup
+from ._shared import arrow_rows, broadcast_if_small, column, discard, materialise, shared_dir, shuffle_cleanup
 
 #: What a null id counts as: larger than any other.
 NO_ID = (1 << 63) - 1
-RUN = "kind int, key int, n long, a binary, b binary, c binary, d binary"
+#: A row is a sorted run of ``n`` entries. HASHES: hashes, checks, ids, places, text keys (the last three empty in
+#: history). REPEATS: ids, text keys and places of repeated windows of the documents of group ``g``.
+RUN = "kind int, key int, g long, n long, a binary, b binary, c binary, d binary, e binary"
 REPEATS, HASHES = 0, 1
+#: Entries of one historical row, so that a merge unpacks a bounded part of history at a time.
+ROW_ENTRIES = 1 << 20
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _odd_constants(n: int, seed: int) -> list[int]:
@@ -108,21 +117,22 @@ def _groups(h: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.concatenate(([True], ~same))) if len(h) else np.zeros(0, np.int64)
 
 
-def _repeat_rows(key_of, g: np.ndarray, doc: np.ndarray, tkey: np.ndarray, pos: np.ndarray) -> list[tuple]:
-    """Rows of repeated windows by the group of rows that their document belongs to; ``d`` holds the group."""
-    if not len(g):
+def _repeat_rows(key_of, groups: int, doc: np.ndarray, part: np.ndarray, pos: np.ndarray) -> list[tuple]:
+    """Rows of repeated windows by the group that their document belongs to."""
+    if not len(doc):
         return []
-    order = np.lexsort((pos, tkey, doc, g))
-    g, doc, tkey, pos = g[order], doc[order], tkey[order], pos[order]
+    g = (doc ^ part) % groups
+    order = np.lexsort((pos, part, doc, g))
+    g, doc, part, pos = g[order], doc[order], part[order], pos[order]
     cuts = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1]))).tolist()
-    return [(REPEATS, key_of(int(g[a])), b - a, packed(doc[a:b]), packed(tkey[a:b]), packed(pos[a:b]), int(g[a]).to_bytes(8, "little"))
+    return [(REPEATS, key_of(int(g[a])), int(g[a]), b - a, packed(doc[a:b], True), packed(part[a:b], True), packed(pos[a:b], True), b"", b"")
             for a, b in zip(cuts, [*cuts[1:], len(g)], strict=True)]
 
 
 def _batch_of(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                      names=["kind", "key", "n", "a", "b", "c", "d"])
+                                      names=["kind", "key", "g", "n", "a", "b", "c", "d", "e"])
 
 
 def _settled(h, check, doc):
@@ -134,140 +144,157 @@ def _settled(h, check, doc):
     return order[repeat], order[~repeat]
 
 
-def piece_runs(window: int, buckets: int, piece_bytes: int):
-    """A function from batches of (doc_id, tkey, g, text) to run rows, for mapInArrow."""
+def stretches(text: bytes, size: int, window: int):
+    """(place of the first word, words) of stretches of about ``size`` bytes; each window lies in exactly one."""
+    if len(text) <= size:
+        yield 0, text.split()
+        return
+    at = place = 0
+    tail: list[bytes] = []
+    while at < len(text):
+        cut = _BLANK.search(text, at + size)
+        end = cut.start() if cut else len(text)
+        words = tail + text[at:end].split()
+        yield place, words
+        tail = words[max(0, len(words) - window + 1):]
+        place += len(words) - len(tail)
+        at = end
+
+
+def piece_runs(window: int, buckets: int, groups: int, piece_bytes: int):
+    """A function from batches of (doc, part, text) to run rows, for mapInArrow."""
     shift = np.uint64(64 - buckets.bit_length() + 1)
 
-    def emit(hasher, ids, tkeys, gs, texts):
+    def emit(hasher, held):
         words: list[bytes] = []
         starts = [0]
-        for t in texts:
-            words += t.split()
+        for *_, own in held:
+            words += own
             starts.append(len(words))
-        starts = np.array(starts, np.int64)
         if len(words) < window:
             return
+        starts = np.array(starts, np.int64)
         h, check = hasher.windows(words)
         del words
         at = np.arange(len(h))
         owner = np.searchsorted(starts, at, side="right") - 1
         inside = at + window <= starts[owner + 1]  # windows don't cross documents
-        h, check, at, owner = h[inside], check[inside], at[inside].astype(np.uint32), owner[inside]
-        ids, tkeys, gs = np.array(ids, np.int64), np.array(tkeys, np.int64), np.array(gs, np.int32)
-        settled, rest = _settled(h, check, ids[owner])
-        rows = _repeat_rows(lambda g: g % buckets, gs[owner[settled]], ids[owner[settled]], tkeys[owner[settled]],
-                            (at[settled] - starts[owner[settled]]).astype(np.uint32))
-        h, check, at = h[rest], check[rest], at[rest]
-        table = pa.compress(np.concatenate((ids.view(np.uint8), tkeys.view(np.uint8), gs.astype(np.int64).view(np.uint8),
-                                            starts[:-1].view(np.uint8))).tobytes(), codec="zstd", asbytes=True)
-        table = len(ids).to_bytes(8, "little") + table
-        edges = np.searchsorted(h >> shift, np.arange(buckets + 1, dtype=np.uint64)) if buckets > 1 else np.array([0, len(h)])
-        for k in range(buckets):
-            a, b = edges[k], edges[k + 1]
+        h, check, at, owner = h[inside], check[inside], at[inside], owner[inside]
+        doc, part, place = (np.array([x[k] for x in held], np.int64) for k in range(3))
+        pos = (at - starts[owner] + place[owner]).astype(np.uint32)
+        settled, rest = _settled(h, check, doc[owner])
+        rows = _repeat_rows(lambda g: g % buckets, groups, doc[owner[settled]], part[owner[settled]], pos[settled])
+        h, check, pos, owner = h[rest], check[rest], pos[rest], owner[rest]
+        edges = np.searchsorted(h >> shift, np.arange(buckets + 1, dtype=np.uint64)).tolist() if buckets > 1 else [0, len(h)]
+        for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
             if b > a:
-                rows.append((HASHES, k, int(b - a), packed(h[a:b], True), packed(check[a:b]), packed(at[a:b]), table))
-        if rows:
-            yield _batch_of(rows)
+                rows.append((HASHES, k, 0, b - a, packed(h[a:b], True), packed(check[a:b]), packed(doc[owner[a:b]]), packed(pos[a:b]), packed(part[owner[a:b]])))
+        for a in range(0, len(rows), 512):
+            yield _batch_of(rows[a:a + 512])
 
     def run(batches):
         hasher = WindowHasher(window)
-        held = ([], [], [], [])
+        held: list[tuple] = []
         size = 0
-        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tkey", "g", "text")), strict=True):
-                for part, value in zip(held, row, strict=True):
-                    part.append(value)
-                size += len(row[3])
-                if size >= piece_bytes or len(held[0]) >= 50_000:
-                    yield from emit(hasher, *held)
-                    held, size = ([], [], [], []), 0
-        if held[0]:
-            yield from emit(hasher, *held)
-        del hasher, held
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        for batch in batches:
+            for doc, part, text in zip(*(batch.column(c) for c in ("doc", "part", "text")), strict=True):
+                for place, words in stretches(text.as_py(), piece_bytes, window):
+                    held.append((doc.as_py(), part.as_py(), place, words))
+                    size += sum(map(len, words)) + len(words)
+                    if size >= piece_bytes:
+                        yield from emit(hasher, held)
+                        held, size = [], 0
+        if held:
+            yield from emit(hasher, held)
 
     return run
 
 
-def merge_bucket(table: pa.Table) -> pa.Table:
-    """Merge a bucket's batch runs and join them with history.
-
-    ``d`` tells them apart: batch runs carry their piece's documents there, historical runs nothing."""
-    rows = table.to_pylist()
-    out = [(REPEATS, int.from_bytes(r["d"], "little"), r["n"], r["a"], r["b"], r["c"], b"") for r in rows if r["kind"] == REPEATS]
-    fresh = [r for r in rows if r["kind"] == HASHES and r["d"]]
-    past = [r for r in rows if r["kind"] == HASHES and not r["d"]]
-    if not fresh:
-        return pa.Table.from_batches([_batch_of(out)]) if out else _nothing()
-    h, check, doc, tkey, g, pos = [], [], [], [], [], []
-    for r in fresh:
-        n = int.from_bytes(r["d"][:8], "little")
-        docs = np.frombuffer(pa.decompress(r["d"][8:], decompressed_size=32 * n, codec="zstd", asbytes=True), np.int64).reshape(4, n)
-        at = unpacked(r["c"], r["n"], np.uint32).astype(np.int64)
-        owner = np.searchsorted(docs[3], at, side="right") - 1
-        # blank documents start where the next one does: the last of equal starts owns the words
-        h.append(unpacked(r["a"], r["n"], np.uint64, True))
-        check.append(unpacked(r["b"], r["n"], np.uint32))
-        doc.append(docs[0][owner])
-        tkey.append(docs[1][owner])
-        g.append(docs[2][owner].astype(np.int32))
-        pos.append((at - docs[3][owner]).astype(np.uint32))
-    key = fresh[0]["key"]
-    del fresh, rows, table
-    h = np.concatenate(h)
-    check = np.concatenate(check)
-    doc = np.concatenate(doc)
-    tkey = np.concatenate(tkey)
-    g = np.concatenate(g)
-    pos = np.concatenate(pos)
-    order, starts = _groups(h, check)
-    sizes = np.diff(np.append(starts, len(h)))
-    least = np.minimum.reduceat(doc[order], starts)
-    own_h, own_check = h[order[starts]], check[order[starts]]
-    known = np.zeros(len(starts), bool)
-    for r in past:
-        ph, pc = unpacked(r["a"], r["n"], np.uint64, True), unpacked(r["b"], r["n"], np.uint32)
-        at = np.searchsorted(ph, own_h)
-        while True:  # more than once only where one hash stands for unlike windows
-            there = at < len(ph)
-            there[there] = ph[at[there]] == own_h[there]
-            if not there.any():
-                break
-            known[there] |= pc[at[there]] == own_check[there]
-            at = at + there
-            if not (there & ~known).any():
-                break
-    repeat = order[np.repeat(known, sizes) | (doc[order] > np.repeat(least, sizes))]
-    out += _repeat_rows(int, g[repeat], doc[repeat], tkey[repeat], pos[repeat])
-    new = ~known
-    del h, check, doc, tkey, g, pos, order, least, repeat
-    out.append((HASHES, key, int(new.sum()), packed(own_h[new], True), packed(own_check[new]), b"", b""))
-    return pa.Table.from_batches([_batch_of(out)])
-
-
-def _nothing() -> pa.Table:
-    return pa.Table.from_batches([_batch_of([(0, 0, 0, b"", b"", b"", b"")])]).slice(0, 0)
-
-
-def compact_bucket(table: pa.Table) -> pa.Table:
-    rows = [r for r in table.to_pylist() if r["n"]]
-    if not rows:
-        return _nothing()
-    h = np.concatenate([unpacked(r["a"], r["n"], np.uint64, True) for r in rows])
-    check = np.concatenate([unpacked(r["b"], r["n"], np.uint32) for r in rows])
+def _runs_of(rows: list[dict], kind: int):
+    return [r for r in rows if r["kind"] == kind]
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    h, check = (np.concatenate(c) for c in zip(*parts, strict=True))
     order, starts = _groups(h, check)
     at = order[starts]
-    return pa.Table.from_batches([_batch_of([(HASHES, rows[0]["key"], len(at), packed(h[at], True), packed(check[at]), b"", b"")])])
+    return h[at], check[at]
+
+
+def merge_bucket(groups: int, compact: bool):
+    """A function for cogrouped (batch runs, historical runs) of a bucket."""
+
+    def run(batch: pa.Table, history: pa.Table) -> pa.Table:
+        rows = batch.to_pylist()
+        out = [tuple(r.values()) for r in _runs_of(rows, REPEATS)]
+        fresh, past = _runs_of(rows, HASHES), history.to_pylist()
+        del rows, batch, history
+        if not fresh:
+            if compact and past:
+                out += _run_rows(past[0]["key"], *_merged([_hashes(r) for r in past]))
+            return _table_of(out)
+        key = fresh[0]["key"]
+        h, check = (np.concatenate(c) for c in zip(*map(_hashes, fresh), strict=True))
+        doc, pos, part = (np.concatenate([unpacked(r[c], r["n"], t) for r in fresh]) for c, t in (("c", np.int64), ("d", np.uint32), ("e", np.int64)))
+        del fresh
+        order, starts = _groups(h, check)
+        sizes = np.diff(np.append(starts, len(h)))
+        least = np.minimum.reduceat(doc[order], starts)
+        own_h, own_check = h[order[starts]], check[order[starts]]
+        del h, check
+        known = np.zeros(len(starts), bool)
+        for r in past:
+            known |= _held(own_h, own_check, *_hashes(r))
+        repeat = order[np.repeat(known, sizes) | (doc[order] > np.repeat(least, sizes))]
+        out += _repeat_rows(lambda _: key, groups, doc[repeat], part[repeat], pos[repeat])
+        del doc, pos, part, order, repeat
+        own_h, own_check = own_h[~known], own_check[~known]
+        if compact and past:
+            own_h, own_check = _merged([*map(_hashes, past), (own_h, own_check)])
+        out += _run_rows(key, own_h, own_check)
+        return _table_of(out)
+
+    return run
+
+
+def _hashes(r: dict) -> tuple[np.ndarray, np.ndarray]:
+    return unpacked(r["a"], r["n"], np.uint64, True), unpacked(r["b"], r["n"], np.uint32)
+
+
+def _held(h: np.ndarray, check: np.ndarray, run_h: np.ndarray, run_check: np.ndarray) -> np.ndarray:
+    """Which pairs the sorted run has. Beyond the first turn only where one hash stands for unlike windows."""
+    out = np.zeros(len(h), bool)
+    at = np.searchsorted(run_h, h)
+    while True:
+        there = at < len(run_h)
+        there[there] = run_h[at[there]] == h[there]
+        if not there.any():
+            return out
+        out[there] |= run_check[at[there]] == check[there]
+        at = at + there
+
+
+def _run_rows(key: int, h: np.ndarray, check: np.ndarray) -> list[tuple]:
+    return [(HASHES, key, 0, len(h[a:a + ROW_ENTRIES]), packed(h[a:a + ROW_ENTRIES], True), packed(check[a:a + ROW_ENTRIES]), b"", b"", b"")
+            for a in range(0, len(h), ROW_ENTRIES)]
+
+
+def _table_of(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([_batch_of(rows) if rows else _batch_of([(0, 0, 0, 0, b"", b"", b"", b"", b"")]).slice(0, 0)])
 
 
 class WindowIndex:
-    """Runs under ``path``: each a table of its own, complete once its job has committed it."""
+    """Runs under ``path``: each a table of its own, complete once its job has committed it.
+
+    ``buckets`` is fixed for the life of an index: a bucket's batch (about 100 bytes a window) and packed history (9 bytes
+    a window) meet in one task, so choose it by the size that the index is to reach. ``groups``: how many groups the
+    documents of a batch are dealt into to be cut."""
 
-    def __init__(self, spark: SparkSession, path: str, window: int = 13, buckets: int = 16, fanout: int = 4,
-                 piece_bytes: int = 6 << 20):
+    def __init__(self, spark: SparkSession, path: str, window: int = 13, buckets: int = 16, groups: int = 1, fanout: int = 1,
+                 piece_bytes: int = 2 << 20):
         if buckets & (buckets - 1) or buckets < 1:
             raise ValueError("buckets: a power of two")
-        self.spark, self.path, self.window, self.buckets = spark, path.rstrip("/"), window, buckets
+        self.spark, self.path, self.window, self.buckets, self.groups = spark, path.rstrip("/"), window, buckets, groups
         self.fanout, self.piece_bytes = fanout, piece_bytes
         self._fs_path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._fs_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -289,115 +316,137 @@ class WindowIndex:
         return out
 
     def _read(self, paths: list[str], kind: int) -> DataFrame:
-        schema = "key int, n long, a binary, b binary, c binary, d binary"
-        df = self.spark.read.schema(schema).parquet(*paths)
-        return df.select(F.lit(kind).alias("kind"), "key", "n", "a", "b", "c", "d")
+        columns = RUN.split(", ", 1)[1]
+        if not paths:
+            return self.spark.createDataFrame([], RUN)
+        return self.spark.read.schema(columns).parquet(*paths).select(F.lit(kind).alias("kind"), "*")
 
     def add(self, rows: DataFrame, keep: bool = True) -> str:
-        """Merge a batch of (doc_id, tkey, g, text binary) into the index. Its ids must not be below earlier batches'.
+        """Merge a batch of (doc long, part long, text binary) into the index. Its ids must not be below earlier batches'.
 
-        Returns the folder of its repeated windows. ``keep=False``: no later batch follows, so no run is written."""
-        fresh = rows.mapInArrow(piece_runs(self.window, self.buckets, self.piece_bytes), RUN)
+        Returns the folder of its repeated windows. ``keep=False``: no later batch follows, so no run is written. A failure
+        between the new run's commit and the old ones' removal leaves hashes twice, never missing: sets don't mind."""
+        fresh = rows.mapInArrow(piece_runs(self.window, self.buckets, self.groups, self.piece_bytes), RUN)
         past = self.runs()
-        every = fresh.unionByName(self._read(past, HASHES)) if past else fresh
-        merged = every.groupBy("key").applyInArrow(merge_bucket, RUN)
+        compact = keep and len(past) + 1 > self.fanout
+        merged = (fresh.groupBy("key").cogroup(self._read(past, HASHES).groupBy("key"))
+                  .applyInArrow(merge_bucket(self.groups, compact), RUN))
         if not keep:
             merged = merged.filter(F.col("kind") == REPEATS)
-        name = f"batch-{self._next():06d}"
+        name = f"batch-{1 + max([0, *(int(n.split('-')[1]) for n in self._committed())]):06d}"
         with shuffle_cleanup(self.spark), arrow_rows(self.spark, 1000):  # whole texts are long rows
             merged.write.partitionBy("kind").parquet(f"{self.path}/{name}")
-        if keep and len(past) + 1 > self.fanout:
-            self.compact()
+        if compact:
+            self.drop(past)
         return f"{self.path}/{name}/kind={REPEATS}"
 
-    def _next(self) -> int:
-        return 1 + max([0, *(int(n.split("-")[1]) for n in self._committed())])
-
-    def compact(self) -> None:
-        """One run instead of many. A failure on the way leaves runs twice, never missing: sets of hashes don't mind."""
-        past = self.runs()
-        if len(past) < 2:
-            return
-        whole = self._read(past, HASHES).groupBy("key").applyInArrow(compact_bucket, RUN)
-        with shuffle_cleanup(self.spark):
-            whole.write.partitionBy("kind").parquet(f"{self.path}/compact-{self._next():06d}")
-        for p in past:
-            self._fs.delete(self._fs_path(p), True)
-
     def repeats(self, folders: list[str]) -> DataFrame:
-        found = [p for p in folders if self._fs.exists(self._fs_path(p))]
-        if not found:
-            return self.spark.createDataFrame([], RUN)
-        return self._read(found, REPEATS)
+        return self._read([p for p in folders if self._fs.exists(self._fs_path(p))], REPEATS)
 
     def drop(self, folders: list[str] | None = None) -> None:
         for p in [self.path] if folders is None else folders:
             self._fs.delete(self._fs_path(p), True)
 
 
-def cut_repeats(window: int):
+def cut_repeats(window: int, piece_bytes: int):
     """A function for cogrouped (documents, repeats): texts without the words of repeated windows."""
 
-    def run(docs: pa.Table, repeats: pa.Table) -> pa.Table:
-        cut: dict[tuple[int, int], list[np.ndarray]] = {}
-        for r in repeats.to_pylist():
-            doc, tkey = unpacked(r["a"], r["n"], np.int64), unpacked(r["b"], r["n"], np.int64)
-            pos = unpacked(r["c"], r["n"], np.uint32)
-            edges = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (tkey[1:] != tkey[:-1])))).tolist()
-            for a, b in zip(edges, [*edges[1:], len(doc)], strict=True):
-                cut.setdefault((int(doc[a]), int(tkey[a])), []).append(pos[a:b])
-        kept, n_words, n_removed = [], [], []
-        for doc, tkey, text in zip(*(docs.column(c).to_pylist() for c in ("ordered_id", "tkey", "text")), strict=True):
-            words = text.split()
-            hit = cut.get((doc, tkey))
-            gone = 0
-            if hit is not None:
-                at = np.concatenate(hit).astype(np.int64)
+    def cut(text: bytes, at: np.ndarray) -> tuple[bytes, int, int]:
+        """Kept words, how many words there were and how many go. ``at``: starts of repeated windows, sorted."""
+        out, n, gone = [], 0, 0
+        for place, words in stretches(text, piece_bytes, 1):
+            near = at[np.searchsorted(at, place - window + 1):np.searchsorted(at, place + len(words))] - place
+            n += len(words)
+            if len(near):
                 cover = np.zeros(len(words) + 1, np.int64)
-                np.add.at(cover, at, 1)
-                np.add.at(cover, at + window, -1)
+                np.add.at(cover, np.maximum(near, 0), 1)
+                np.add.at(cover, np.minimum(near + window, len(words)), -1)
                 stay = (np.cumsum(cover)[:-1] == 0).tolist()
-                gone = len(words) - sum(stay)
                 words = [w for w, s in zip(words, stay, strict=True) if s]
-            kept.append(b" ".join(words))
-            n_words.append(len(words) + gone)
+                gone += len(stay) - len(words)
+            if words:
+                out.append(b" ".join(words))
+        return b" ".join(out), n, gone
+
+    def run(docs: pa.Table, repeats: pa.Table) -> pa.Table:
+        found: dict[tuple[int, int], list[np.ndarray]] = {}
+        for r in repeats.to_pylist():
+            doc, part = unpacked(r["a"], r["n"], np.int64, True), unpacked(r["b"], r["n"], np.int64, True)
+            pos = unpacked(r["c"], r["n"], np.uint32, True)
+            edges = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (part[1:] != part[:-1])))).tolist()
+            for a, b in zip(edges, [*edges[1:], len(doc)], strict=True):
+                found.setdefault((int(doc[a]), int(part[a])), []).append(pos[a:b])
+        texts, n_words, n_removed = [], [], []
+        none = np.zeros(0, np.int64)
+        for doc, part, text in zip(*(docs.column(c) for c in ("doc", "part", "text")), strict=True):
+            hit = found.get((doc.as_py(), part.as_py()))
+            kept, n, gone = cut(text.as_py(), none if hit is None else np.sort(np.concatenate(hit)).astype(np.int64))
+            texts.append(kept)
+            n_words.append(n)
             n_removed.append(gone)
-        return pa.table({"doc_id": docs.column("doc_id"), "text": pa.array(kept, pa.binary()).cast(pa.string()),
-                         "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())})
+        return pa.table({"doc_id": docs.column("doc_id"), "text": pa.array(texts, pa.binary()).cast(pa.string()),
+                         "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "rows": docs.column("rows")})
 
     return run
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``doc_id, doc, part, text, rows``: ``part`` is 0, or a hash of the text where several rows share the id; rows equal in
+    id and text become one, with their number."""
+    shared = materialise(rows.groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc"), "window-ids")
+    n = shared.count()
+    if not n:
+        discard(shared)
+        return rows.select("doc_id", "doc", F.lit(0).cast("long").alias("part"), "text", F.lit(1).cast("long").alias("rows"))
+    told = rows.join(broadcast_if_small(shared.withColumn("twice", F.lit(True)), n), "doc", "left")
+    told = told.withColumn("part", F.when(F.col("twice"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
+    return materialise(told.groupBy("doc_id", "doc", "part").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("rows")), "window-rows")
+
+
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, batches: int = 3,
-                     bucket_windows: int = 1_500_000, piece_bytes: int = 6 << 20) -> DataFrame:
+                     bucket_windows: int = 500_000, piece_bytes: int = 2 << 20, index: WindowIndex | None = None) -> DataFrame:
     """One row per input row: ``doc_id, text, n_words, n_removed``; kept words are joined by a blank.
 
     A word goes if a window over it also starts in a document of a smaller id. Words are cut at blank and \\x09-\\x0D; a
     null text has none. Ids are whole numbers; a null id counts as larger than any other. Rows that share an id never
-    remove each other's words; each is a row of the result. Other columns are ignored, empty input gives an empty result.
+    remove each other's words; each is a row of the result. Other columns are ignored, empty input gives an empty result;
+    very long texts are read in stretches of ``piece_bytes``.
+
+    ``index``: a lasting index whose history counts as smaller ids and takes in this call's windows (its window, buckets
+    and groups hold then); without one, the call's history is dropped at its end.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    ordered = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    text = F.coalesce(column(text_col).cast("string"), F.lit("")).cast("binary")
+    rows = docs.select(column(id_col).alias("doc_id"), F.coalesce(column(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), text.alias("text"))
     marks = [k / batches for k in range(1, batches)]
-    told = rows.agg(F.sum(F.length("text")), F.percentile_approx(ordered, F.array(*[F.lit(m) for m in marks]), F.lit(1000)) if marks else F.lit(None)).first()
+    told = rows.agg(F.sum(F.length("text")), F.percentile_approx("doc", F.array(*[F.lit(m) for m in marks]), F.lit(1000)) if marks else F.lit(None)).first()
     size, bounds = told[0] or 0, sorted(set(told[1] or []))
-    groups = max(1, -(-size // (4 << 20)))
-    buckets = 1 << max(0, int(np.ceil(np.log2(max(1, size / 6.4 / (len(bounds) + 1) / bucket_windows)))))
-    rows = rows.select("doc_id", ordered.alias("ordered_id"), F.xxhash64("text").alias("tkey"), "text")
-    rows = rows.withColumn("g", F.pmod(F.xxhash64("ordered_id", "tkey"), F.lit(groups)).cast("int"))
-    index = WindowIndex(spark, f"{shared_dir(spark)}/window-index-{uuid.uuid4().hex}", window, buckets, piece_bytes=piece_bytes)
+    rows = _told_apart(rows)
+    lasting = index is not None
+    if not lasting:
+        buckets = 1 << max(0, int(np.ceil(np.log2(max(1, size / 6.4 / (len(bounds) + 1) / bucket_windows)))))
+        index = WindowIndex(spark, f"{shared_dir(spark)}/window-index-{uuid.uuid4().hex}", window, buckets, _prime(size // (2 << 20)), piece_bytes=piece_bytes)
     found = []
     for low, high in zip([None, *bounds], [*bounds, None], strict=True):
         part = rows
         if low is not None:
-            part = part.filter(F.col("ordered_id") > low)
+            part = part.filter(F.col("doc") > low)
         if high is not None:
-            part = part.filter(F.col("ordered_id") <= high)
-        found.append(index.add(part.select(F.col("ordered_id").alias("doc_id"), "tkey", "g", "text"), keep=high is not None))
-    index.drop(index.runs())  # this call's history ends here; its repeats stay for the result
-    repeats = index.repeats(found).withColumnRenamed("key", "g")
-    out_type = dict(docs.select(F.col(id_col).alias("doc_id")).dtypes)["doc_id"]
-    return (rows.groupBy("g").cogroup(repeats.select("g", "n", "a", "b", "c").groupBy("g"))
-            .applyInArrow(cut_repeats(window), f"doc_id {out_type}, text string, n_words long, n_removed long"))
+            part = part.filter(F.col("doc") <= high)
+        found.append(index.add(part.select("doc", "part", "text"), keep=lasting or high is not None))
+    if not lasting:
+        index.drop(index.runs())  # this call's history ends here; its repeats stay for the result
+    dealt = rows.withColumn("g", F.pmod(F.col("doc").bitwiseXOR(F.col("part")), F.lit(index.groups)))
+    out_type = dict(docs.select(column(id_col).alias("doc_id")).dtypes)["doc_id"]
+    out = (dealt.groupBy("g").cogroup(index.repeats(found).select("g", "n", "a", "b", "c").groupBy("g"))
+           .applyInArrow(cut_repeats(index.window, index.piece_bytes), f"doc_id {out_type}, text string, n_words long, n_removed long, rows long"))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))
+    return out.select("doc_id", "text", "n_words", "n_removed", again.alias("k")).drop("k")
+
+
+def _prime(least: int) -> int:
+    """The smallest prime from ``least`` on: ids in steps still spread over all groups."""
+    n = max(2, least)
+    while any(n % k == 0 for k in range(2, int(n ** 0.5) + 1)):
+        n += 1
+    return n

@@ -96,14 +96,44 @@ def test_substring_on_random_and_odd_rows(spark):
 
 
 def test_index_compacts_and_remembers(spark, tmp_path):
-    index = S.WindowIndex(spark, f"file://{tmp_path}/index", window=3, buckets=2, fanout=2)
-    rows = lambda ids: spark.createDataFrame([(i, 7 * i, 0, f"a b c d x{i} y{i} z{i}".encode()) for i in ids], "doc_id long, tkey long, g int, text binary")
+    index = S.WindowIndex(spark, f"file://{tmp_path}/index", window=3, buckets=2, groups=5, fanout=2)
+    rows = lambda ids: spark.createDataFrame([(i, 0, f"a b c d x{i} y{i} z{i}".encode()) for i in ids], "doc long, part long, text binary")
+    runs = []
     for lo in range(0, 20, 4):
         found = index.add(rows(range(lo, lo + 4)))
-        assert len(index.runs()) <= 3
+        runs.append(len(index.runs()))
         hits = index.repeats([found]).collect()
-        seen = {int(d) for r in hits for d in S.unpacked(r["a"], r["n"], np.int64)}
+        seen = {int(d) for r in hits for d in S.unpacked(r["a"], r["n"], np.int64, True)}
         assert seen == set(range(max(lo, 1), lo + 4))  # "a b c" and "b c d" have stood in document 0
+    assert runs == [1, 2, 1, 2, 1]
+
+
+def test_a_lasting_index_counts_earlier_calls(spark, tmp_path):
+    rows = [(k, t, "en", "s") for k, t, *_ in random_docs(80, 11, vocabulary=2, longest=40)]
+    index = S.WindowIndex(spark, f"file://{tmp_path}/lasting", window=5, buckets=4, groups=3)
+    got = []
+    for lo in (0, 30, 60):
+        part = spark.createDataFrame(rows[lo:lo + 30], SCHEMA)
+        got += [tuple(r) for r in S.dedup_substrings(part, batches=2, index=index).select("doc_id", "text", "n_words", "n_removed").collect()]
+    assert sorted(got, key=str) == substring_brute(rows, 5)
+
+
+def test_stretches_hold_each_window_once():
+    rng = random.Random(3)
+    for window in (1, 2, 5):
+        words = [f"w{rng.randrange(50)}".encode() for _ in range(400)]
+        text = b"  ".join(words)
+        seen = [(p + k, tuple(w[k:k + window])) for p, w in S.stretches(text, 37, window) for k in range(len(w) - window + 1)]
+        assert sorted(seen) == [(k, tuple(words[k:k + window])) for k in range(len(words) - window + 1)]
+
+
+def test_bytes_sent_do_not_grow_with_the_buckets():
+    import pyarrow as pa
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(300)).encode() for _ in range(400)]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(400)), "part": [0] * 400, "text": texts})
+    sent = [sum(len(r[c]) for b in S.piece_runs(13, n, 7, 1 << 20)([batch]) for r in b.to_pylist() for c in "abcde") for n in (4, 256)]
+    assert sent[1] < 1.5 * sent[0]
 
 
 def test_one_hash_for_unlike_windows_is_told_apart_by_the_check():
