@@ -102,6 +102,19 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def map_whole_rows(df: DataFrame, run, keep: int | None = None) -> DataFrame:
+    """``mapInArrow`` over rows whose columns are called c0, c1 ... meanwhile, as it can't take names with dots; ``keep``:
+    how many columns, from the first, the result has (all where None)."""
+    plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    out = plain.select(plain.columns[:keep]).schema
+    return plain.mapInArrow(run, out).toDF(*df.columns[:keep])
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once; named in a lambda it would be worked out at every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def join_counted(big: DataFrame, small: DataFrame, key: str, rows: int, n: str = "n") -> DataFrame:
     """Inner equi-join of ``big`` with ``small`` (one row a ``key``, which ``n`` of the ``rows`` of ``big`` have).
 
