@@ -12,10 +12,21 @@ def odd_rows():
             (None, "same text here", "en", "s1"), (None, None, None, None), (7, "é ß 😀 ünï code", "fr", "s4"), (8, "x" * 50_000, "en", "s5")]
 
 
+#: Names that the operators use themselves, in either case, and one with a dot.
+CLASHES = ("h", "size", "digest", "content", "salt", "tkey", "key", "n", "g", "fp", "pos", "site", "copies", "score", "label", "base", "words", "line", "u", "v",
+           "__key", "__id", "__cut", "__keep", "__tkey", "__ROW", "__N_LINES", "__n_removed", "__spans", "mix_copies", "text_", "node", "root", "part", "doc",
+           "component_id", "spans", "items", "found", "near", "marked", "id", "y", "a.b")
+
+
 def odd(spark):
     """With columns named like the operators' own."""
-    names = ("h", "size", "digest", "content", "salt", "tkey", "key", "n", "g", "fp", "pos", "site", "copies", "score", "label", "base", "words", "line", "u", "v")
-    return spark.createDataFrame(odd_rows(), SCHEMA).selectExpr("*", *[f"'x' AS {c}" for c in names])
+    return spark.createDataFrame(odd_rows(), SCHEMA).selectExpr("*", *[f"'x {c}' AS `{c}`" for c in CLASHES])
+
+
+def huge(spark):
+    """A text of 5 MB among short ones, repeated rows and a null."""
+    text = "\n".join(f"line {k % 5000} of a long text with number {k}" for k in range(130_000))
+    return spark.createDataFrame([(1, text, "en", "s1"), (2, "short", "en", "s2"), (2, "short", "en", "s2"), (3, None, None, None)], SCHEMA)
 
 
 def empty(spark):

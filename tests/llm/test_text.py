@@ -28,11 +28,11 @@ def license_brute(text, threshold=0.8):
         at += here
         if here:
             base.add(label)
-    for line in (text or "").split("\n"):
-        have = set(words(line))
-        for label, t in L.TEMPLATES:
-            need = set(t.split(" "))
-            if len(have & need) >= math.ceil(threshold * len(need) - 1e-9):
+    for label, t, marks in L.TEMPLATES:
+        need, size = set(t.split(" ")), 16 if len(t.split(" ")) <= 12 else 48
+        for k in range(0, len(w), size // 4):
+            have = set(w[k:k + size])
+            if have >= set(marks.split(" ")) and len(have & need) >= math.ceil(threshold * len(need) - 1e-9):
                 more.add(label)
                 best = max(best, len(have & need) / len(need))
     return (len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if at else best)
@@ -40,9 +40,9 @@ def license_brute(text, threshold=0.8):
 
 def test_licenses(spark):
     rng = random.Random(1)
-    pool = sorted({x for _, t in L.TEMPLATES for x in t.split(" ")}) + ["foo", "bar"]
+    pool = sorted({x for _, t, _ in L.TEMPLATES for x in t.split(" ")}) + ["foo", "bar"]
     texts = ["Licensed under CC BY-NC 4.0.", "cc by cc by cc by", "GNU general\npublic license", "Released under the MIT-License!", None, ""]
-    texts += ["intro line\n" + " ".join(x for x in t.split(" ") if rng.random() < 0.85) + " foo" for _, t in L.TEMPLATES for _ in range(4)]
+    texts += ["intro line\n" + " ".join(x for x in t.split(" ") if rng.random() < 0.85) + " foo" for _, t, _ in L.TEMPLATES for _ in range(4)]
     texts += [" ".join(rng.choice(pool) for _ in range(rng.randrange(40))) for _ in range(60)]
     rows = [(k, t, "en", "s") for k, t in enumerate(texts)] + odd_rows()[:6]
     got = [tuple(r) for r in L.scan_licenses(spark.createDataFrame(rows, SCHEMA)).collect()]
@@ -50,6 +50,18 @@ def test_licenses(spark):
     assert L.scan_licenses(empty(spark)).count() == 0 and L.scan_licenses(odd(spark)).count() == len(odd_rows())
 
 
+def test_wrapped_notices_and_short_templates(spark):
+    mit = L.TEMPLATES[4][1].split(" ")
+    wrapped = "x " * 100 + "\n".join(" ".join(mit[k:k + 7]) for k in range(0, len(mit), 7)) + " y" * 100
+    bsd = "// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided that the following conditions\n// are met:"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0."
+    far = "released " + "a " * 60 + "under the " + "b " * 60 + "mit license"
+    texts = {1: wrapped, 2: "Released under the Apache License", 3: "Released under the BSD license", 4: "Licensed under CC BY 4.0", 5: bsd, 6: mpl, 7: far,
+             8: "Licensed under CC BY-NC 4.0"}
+    got = {r.doc_id: r.labels for r in L.scan_licenses(spark.createDataFrame([(k, t, "en", "s") for k, t in texts.items()], SCHEMA)).collect()}
+    assert got == {1: "mit", 2: "apache", 3: "", 4: "cc-by", 5: "bsd", 6: "mpl", 7: "mit", 8: "cc-by,cc-by-nc"}  # 7: by the phrase
+
+
 def luhn(d):
     return sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
 
@@ -158,3 +170,102 @@ def test_toxicity_report(spark):
     m = X.fit(docs, labels, settings=s)
     assert X.drop_toxic(odd(spark), m).columns == odd(spark).columns
     assert docs.filter(F.col("doc_id") < 0).count() == 0
+
+
+def test_running_sums(spark):
+    for n in (1, 2, 3, 4, 5, 17, 100, 1000):
+        assert spark.range(1).select(P._running(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: k % 7)).alias("s")).first().s == np.cumsum(np.arange(1, n + 1) % 7).tolist()
+
+
+def test_a_text_of_many_numbers_takes_seconds(spark):
+    import time
+    text = " ".join(str(k % 1000) if k % 50 else f"u{k}@mail.example.org" for k in range(400_000))
+    began = time.perf_counter()
+    r = P.pii_report(spark.createDataFrame([(1, text, "en", "s")], SCHEMA)).first()
+    assert r.n_email == 8000 and r.base_sha256 == pii_brute(text) and r.has_pii
+    assert time.perf_counter() - began < 60
+
+
+def score_brute(edges, rounds=3, support=5, confidence=0.8):
+    seed = {(p, i): s for p, i, s in edges}
+    score = {e: float(s) for e, s in seed.items()}
+    for k in range(rounds):
+        own = {}
+        for p, i in seed:
+            own.setdefault(p, []).append(i)
+        conf = {p: sum(score[p, i] for i in ii) / (len(ii) + 1) for p, ii in own.items()}
+        seeds = {p: sum(seed[p, i] for i in ii) for p, ii in own.items()}
+        if k + 1 == rounds:
+            return {p: (round(conf[p], 9), seeds[p]) for p in own if seeds[p] >= support}
+        at = {}
+        for p, i in seed:
+            at.setdefault(i, []).append(p)
+        vote = {i: 1 - math.prod(1 - min(conf[p], 0.999) for p in pp) for i, pp in at.items()}
+        found = {i: any(conf[p] >= confidence and seeds[p] >= support for p in pp) for i, pp in at.items()}
+        first = {(p, i): s for p, i, s in edges}
+        seed = {(p, i): first[p, i] or found[i] for p, i in first}
+        score = {(p, i): 1.0 if seed[p, i] else vote[i] for p, i in seed}
+
+
+def test_pattern_scores_against_brute_force(spark, monkeypatch):
+    rng = random.Random(9)
+    kind = {i: rng.random() < 0.6 for i in range(60)}
+    edges = sorted({(f"p{rng.randrange(12)}", f"i{i}", kind[i]) for i in (rng.randrange(60) for _ in range(300))})
+    df = spark.createDataFrame(edges, "pattern string, instance string, seed boolean")
+    for most in (100_000, 0):  # by broadcast, and by joins that part hot keys from the others
+        monkeypatch.setattr(P, "BROADCAST_ROWS", most)
+        got = {r.pattern: (round(r.confidence, 9), r.seeds) for r in P.score_patterns(df).collect()}
+        assert got == score_brute(edges)
+
+
+def test_unseen_identifiers_recall_and_precision(spark):
+    rng = random.Random(12)
+    leads = ["please reach me at", "write to our desk", "forward it to", "my contact is", "send mail to"]
+    rows, planted = [], {}
+    for k in range(600):
+        lead, filler = leads[k % 5], " ".join(rng.choice("some words of a text that tells nothing much".split()) for _ in range(12))
+        if k % 4:
+            rows.append((k, f"{filler} {lead} user{k}@host{k % 40}.example.com today {filler}"))
+        else:
+            unseen = rng.choice((f"user{k}(at)host.example", f"id{k}x{k * 7}", f"u{k}_at_h{k}_org"))
+            planted[k] = unseen
+            rows.append((k, f"{filler} {lead} {unseen} today {filler}"))
+    rows += [(1000 + k, f"{filler} in the year {1900 + k % 120} the price was {k} dollars {filler}") for k in range(600)]
+    got = {r.doc_id: [text[s.start:s.end] for s in r.context] for text, r in
+           ((dict(rows)[r.doc_id], r) for r in P.find_pii(spark.createDataFrame([(k, t, "en", "s") for k, t in rows], SCHEMA)).collect())}
+    found = sum(planted[k] in got[k] for k in planted)
+    wrong = sum(len([x for x in v if x != planted.get(k)]) for k, v in got.items())
+    assert found / len(planted) >= 0.9 and wrong / max(1, found + wrong) <= 0.1
+
+
+def forward_brute(m, text):
+    """The classifier word by word, as its equations say."""
+    s = m.settings
+    words = X.words_of(text)
+    x = [sum(m.emb[f].astype(float) for f in X.hashed_forms(w, s)) for w in words]
+    pooled = []
+    for conv in m.conv:
+        for q in range(s.filters):
+            sums = [sum(float(x[i + j] @ conv[j, :, q]) for j in range(len(conv)) if i + j < len(x)) for i in range(len(x))]
+            pooled.append(max(sums, default=None))
+    if not words:
+        return float(m.out_bias), 0
+    logit = sum(max(p + b, 0.0) * w for p, b, w in zip(pooled, m.bias.astype(float), m.out.astype(float))) + m.out_bias
+    told = [sum(float(m.lang_logp[X.hashed_forms(w, s)[0] % s.lang_buckets, k]) for w in words) for k in range(len(m.langs))]
+    return logit, int(np.argmax(told))
+
+
+def test_scores_against_a_forward_pass_by_hand():
+    m = X.train(labelled(200, 8), X.Settings(buckets=1 << 11, epochs=2), labelled(60, 9))
+    texts = [t for t, _, _ in labelled(25, 10)] + ["", None, "one", "two words", "vilestuff"]
+    logit, lang = X.Scorer(m, piece=64).logits(texts)
+    for t, a, b in zip(texts, logit, lang):
+        want = forward_brute(m, t)
+        assert abs(a - want[0]) < 1e-3 and (not t or b == want[1]), t
+    got = X.Scorer(m).scores(texts)
+    assert np.allclose(got, [1 / (1 + math.exp(-(forward_brute(m, t)[0] - m.thresholds[b]))) for t, b in zip(texts, lang)], atol=1e-3)
+
+
+def test_one_class_gives_scores_of_zero():
+    m = X.train([("a b c", 1, "en"), ("d e", 1, "fr")], X.Settings(buckets=1 << 10, epochs=1))
+    assert X.Scorer(m).scores(["a b c", None, "zz"]).tolist() == [0, 0, 0]
