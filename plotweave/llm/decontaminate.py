@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import materialise, text_key, whole_text
+from ._shared import column, map_whole_rows, materialise, own_names, text_key, whole_text
 
 #: A-Z to a-z; whatever is neither letter, digit nor beyond ASCII becomes a blank.
 FOLD = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -145,7 +145,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str, shard_words: int) -> tuple[DataFrame, int]:
     """``item, text`` and the number of shards."""
-    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
+    items = benchmark.select(F.coalesce(column(id_col).cast("string"), F.lit("")).alias("item"),
                              whole_text(text_col).cast("binary").alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     return items, 1 + total // (2 * shard_words)  # a word takes two bytes at least, its separator included
@@ -158,8 +158,8 @@ def automata(items: DataFrame, shards: int, window: int):
         yield ItemAutomaton([(r["item"], bytes(r["text"])) for r in part.toLocalIterator()], window)
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
-    return batch.column(column).cast(pa.binary()).to_pylist()
+def _texts(batch: pa.RecordBatch, at: str | int) -> list[bytes | None]:
+    return batch.column(at).cast(pa.binary()).to_pylist()
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -171,7 +171,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
     item. Rows equal in id and text get equal results. Empty tables give empty results or no hits.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("tkey"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(column(id_col).alias("doc_id"), text_key(text_col).alias("tkey"), column(text_col).cast("string").alias("text"))
     schema = T.StructType([rows.schema["doc_id"], rows.schema["tkey"]])
     schema = schema.add("n_words", "long").add("spans", SPANS).add("items", T.ArrayType(T.StringType()))
     parts = []
@@ -205,8 +205,14 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
                .select("doc_id", "tkey", "n_words",
                        F.concat("spans", F.coalesce("r_spans", F.array().cast("array<struct<a:int,b:int>>"))).alias("spans"),
                        F.array_sort(F.array_union("items", F.coalesce("r_items", F.array().cast("array<string>")))).alias("items")))
-    merge = F.udf(lambda spans: _merged([(s["a"], s["b"]) for s in spans]), SPANS)
-    return out.withColumn("spans", merge("spans"))
+
+    def merge(batches):
+        for batch in batches:
+            spans = [[{"a": a, "b": b} for a, b in _merged([(s["a"], s["b"]) for s in row])] for row in batch.column("spans").to_pylist()]
+            at = batch.schema.get_field_index("spans")
+            yield batch.set_column(at, batch.schema.field(at), pa.array(spans, batch.schema.field(at).type))
+
+    return out.mapInArrow(merge, schema)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -232,23 +238,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   shard_words: int = 2_000_000) -> DataFrame:
     """``docs`` with every span of a benchmark window cut; documents covered beyond ``max_coverage`` go.
 
-    Columns stay as they are; documents without hits, null texts included, stay untouched. Cutting may leave two halves
-    side by side; they are not searched again. Every shard of items reads the texts as they came; what the shards find in
+    Columns stay as they are; documents without hits, null and blank texts included, stay untouched; repeated rows are
+    treated alike; an empty table stays empty, an empty benchmark leaves all as it was; a text of any length is scanned
+    once a shard. Cutting may leave two halves side by side; they are not searched again. Every shard of items reads the texts as they came; what the shards find in
     a text is merged before its coverage is tested and it is cut once.
     """
     spark = docs.sparkSession
     items, shards = _items(benchmark, item_id_col, item_text_col, shard_words)
+    at = docs.columns.index(text_col)
 
     def cleaned(batch, found):
         """``batch`` with ``found``, the merged spans of each row, cut."""
-        texts, keep = _texts(batch, text_col), []
+        texts, keep = _texts(batch, at), []
         for k, (text, spans) in enumerate(zip(texts, found, strict=True)):
             if spans:
                 if sum(b - a for a, b in spans) > max_coverage * len(folded_words(text)):
                     continue
                 texts[k] = cut_spans(text, spans)
             keep.append(k)
-        at = batch.schema.get_field_index(text_col)
         new = pa.array(texts, pa.binary()).cast(batch.schema.field(at).type)
         return batch.set_column(at, batch.schema.field(at), new).take(pa.array(keep, pa.int64()))
 
@@ -257,13 +264,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
         def clean(batches):
             for batch in batches:
-                yield cleaned(batch, [shared.value.scan(folded_words(t))[0] for t in _texts(batch, text_col)])
+                yield cleaned(batch, [shared.value.scan(folded_words(t))[0] for t in _texts(batch, at)])
 
-        return docs.mapInArrow(clean, docs.schema)
+        return map_whole_rows(docs, clean)
 
     # spans depend on the text alone, so each distinct text hit has one row a shard; texts don't move with them
     key = lambda: F.struct(text_key(text_col).alias("h"), F.length(whole_text(text_col)).alias("n"))
-    rows = docs.select(key().alias("key"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(key().alias("key"), column(text_col).cast("string").alias("text"))
     parts = []
     for automaton in automata(items, shards, window):
         shared = spark.sparkContext.broadcast(automaton)
@@ -277,15 +284,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         hits = rows.mapInArrow(scan, T.StructType([rows.schema["key"]]).add("spans", SPANS))
         parts.append(materialise(hits.filter(F.size("spans") > 0).dropDuplicates(["key"]), "leak-spans"))
         shared.unpersist()
-    every = reduce(DataFrame.unionByName, parts).groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("__spans"))
-    joined = docs.withColumn("__key", key()).join(every, F.col("__key") == F.col("key"), "left").select(*docs.columns, "__spans")
+    own_key, found_key, all_spans = own_names(docs, "__key", "__found", "__spans")
+    # one row a shard for each text hit, so what is collected is bounded by the shards
+    every = reduce(DataFrame.unionByName, parts).groupBy(F.col("key").alias(found_key)).agg(F.flatten(F.collect_list("spans")).alias(all_spans))
+    joined = docs.withColumn(own_key, key()).join(every, F.col(own_key) == F.col(found_key), "left").select(*[column(c) for c in docs.columns], all_spans)
 
     def cut(batches):
         for batch in batches:
-            found = [_merged([(s["a"], s["b"]) for s in spans or ()]) for spans in batch.column("__spans").to_pylist()]
-            yield cleaned(batch.drop_columns(["__spans"]), found)
+            found = [_merged([(s["a"], s["b"]) for s in spans or ()]) for spans in batch.column(batch.num_columns - 1).to_pylist()]
+            yield cleaned(batch.select(batch.schema.names[:-1]), found)
 
-    return joined.mapInArrow(cut, docs.schema)
+    return map_whole_rows(joined, cut, len(docs.columns))
 
 
 __all__ = ["ItemAutomaton", "contamination_report", "cut_spans", "decontaminate", "find_hits", "folded_words"]

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._shared import column
+
 DEFAULT_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -133,11 +135,13 @@ def count_tokens(docs: DataFrame, automaton: PieceAutomaton | None = None, id_co
     """One row per input row: ``doc_id, n_words, n_tokens, n_unknown``.
 
     Words are cut at blank and ``\\x09-\\x0D``. A word that can't be cut into pieces is one unknown token; the default
-    vocabulary has byte pieces, with which every word can be cut. Null text has none. Further columns are ignored, empty input gives an empty result.
+    vocabulary has byte pieces, with which every word can be cut. Null and blank texts have none. Repeated rows are counted
+    alike; words of any length are read once, letter by letter; further columns are ignored; empty input gives an empty
+    result.
     """
     automaton = automaton or PieceAutomaton(*load_vocabulary(), has_byte_pieces())
     shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(column(id_col).alias("doc_id"), column(text_col).cast("string").alias("text"))
 
     class Counts(dict):
         def __missing__(self, word: bytes) -> int:
