@@ -11,7 +11,7 @@ from plotweave.llm import exact_dedup as E
 from plotweave.llm import line_dedup as L
 from plotweave.llm import substring_dedup as S
 
-from .cases import SCHEMA, empty, odd, odd_rows, random_docs
+from .cases import CLASHES, SCHEMA, empty, odd, odd_rows, random_docs
 
 
 def norm(t):
@@ -66,7 +66,9 @@ def test_line_spread_far_from_the_threshold_uses_the_sketch(spark):
     got = L.dedup_lines(spark.createDataFrame(rows, SCHEMA), min_sites=20).filter("__n_removed = 2").count()
     assert got == 60 and L.dedup_lines(empty(spark)).count() == 0
     out = L.dedup_lines(odd(spark))
-    assert out.count() == len(odd_rows()) and out.columns[:-2] == odd(spark).columns
+    assert out.columns == [*odd(spark).columns, "__n_lines_", "__n_removed_"]
+    got = out.collect()
+    assert len(got) == len(odd_rows()) and all(r[c] == f"x {c}" for r in got for c in CLASHES)
 
 
 def substring_brute(rows, window=13):
