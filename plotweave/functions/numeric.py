@@ -134,3 +134,18 @@ def view_weight(radius, r_max, power: int = 6) -> Column:
 def feather(w1, w2, low: float = 0.9) -> Column:
     """Share of the second view: 0 below ``low`` of the first one's weight, a half at equal weight."""
     return clip((col(w2) / col(w1) - F.lit(low)) / F.lit(1 - low), 0.0, 1.0) / 2
+
+
+def rotated(x, y, degrees: float, cx: float, cy: float) -> tuple[Column, Column]:
+    """Points turned about a centre; turned by the negative angle they are back."""
+    a = math.radians(degrees)
+    dx, dy = col(x) - cx, col(y) - cy
+    return F.lit(cx) + dx * math.cos(a) - dy * math.sin(a), F.lit(cy) + dx * math.sin(a) + dy * math.cos(a)
+
+
+def feature_tile(x, y, width: int, height: int, rows: int = 3, cols: int = 4) -> tuple[Column, Column, Column, Column]:
+    """Tile row and column of a keypoint, and its place within the tile; the last tiles take what is left over."""
+    tw, th = width // cols, height // rows
+    r = F.least(F.greatest(F.floor(col(y) / th), F.lit(0)), F.lit(rows - 1)).cast("int")
+    c = F.least(F.greatest(F.floor(col(x) / tw), F.lit(0)), F.lit(cols - 1)).cast("int")
+    return r, c, col(x) - c * tw, col(y) - r * th

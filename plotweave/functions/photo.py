@@ -17,7 +17,7 @@ HEADING_TAGS = ("FlightYawDegree", "GimbalYawDegree")
 
 def xmp_packet(content) -> Column:
     """The packet inside a file's bytes."""
-    return F.regexp_extract(F.decode(col(content), F.lit("ISO-8859-1")), r"(?s)(<x:xmpmeta.*?</x:xmpmeta)", 1)
+    return F.regexp_extract(F.decode(col(content), "ISO-8859-1"), r"(?s)(<x:xmpmeta.*?</x:xmpmeta)", 1)
 
 
 def xmp_number(xmp, *tags: str) -> Column:
@@ -49,6 +49,16 @@ def heading(xmp) -> Column:
     return xmp_number(xmp, *HEADING_TAGS)
 
 
+def pitch(xmp) -> Column:
+    """Gimbal pitch: about -90 looking down, -45 to -60 for obliques."""
+    return xmp_number(xmp, "GimbalPitchDegree")
+
+
+def is_oblique(pitch: Column, nadir: float = -80.0) -> Column:
+    """No pitch counts as looking down."""
+    return F.coalesce(pitch > nadir, F.lit(False))
+
+
 def rtk(xmp) -> Column:
     return F.struct(xmp_number(xmp, "RtkStdLon").alias("lon"), xmp_number(xmp, "RtkStdLat").alias("lat"),
                     xmp_number(xmp, "RtkStdHgt").alias("hgt"), xmp_number(xmp, "RtkFlag").cast("int").alias("flag"))

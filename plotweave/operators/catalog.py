@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -86,3 +87,64 @@ def camera_params(model: str, width: int, height: int, fx: float, fy: float | No
     if model not in models:
         raise ValueError(f"unknown camera model {model}")
     return model, models[model]
+
+
+#: Photo suffixes, in the cases that are looked for.
+PHOTO_SUFFIXES = (".JPG", ".jpg", ".JPEG", ".jpeg")
+
+
+def has_images(flights: DataFrame, files: DataFrame, path: str = "path") -> DataFrame:
+    """Flights whose folder itself holds a photo; ``files`` are all files below."""
+    folder = F.regexp_extract(F.col(path), "^(.*)/[^/]*$", 1)
+    suffix = F.regexp_extract(F.col(path), r"([.][^./]*)$", 1)
+    photos = files.filter(suffix.isin(*PHOTO_SUFFIXES)).select(folder.alias(path))
+    return flights.join(photos, path, "left_semi")
+
+
+def preflight_dewarp(photos: DataFrame, by: list[str], name: str = "name", xmp: str = "xmp", n: int = 5) -> DataFrame:
+    """``ok``: whether any of the first ``n`` photos by name has a calibration; only these are parsed."""
+    from ..functions.photo import xmp_dewarp
+
+    return first_n(photos, n, by, [name]).groupBy(*by).agg(F.bool_or(xmp_dewarp(xmp).isNotNull()).alias("ok"))
+
+
+def min_matches(matches: DataFrame, pair: list[str], least: int = 15) -> DataFrame:
+    """Pairs with ``least`` matches or more, and their number."""
+    return matches.groupBy(*pair).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+
+
+def resume_flags(flights: DataFrame, matched: Column, verified: Column, raw: Column, refined: Column, fused: Column) -> DataFrame:
+    """What of a run is there to resume from; a later stage counts only where the earlier it builds on is there."""
+    return flights.select("*", matched.alias("matched"), (matched & verified).alias("verified"), raw.alias("raw"), (raw & refined).alias("refined"), fused.alias("fused"))
+
+
+def stamp_changes(now: DataFrame, before: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
+    """``key, before, now`` of settings that differ between two stamps, missing ones included; no row: the workspace holds."""
+    a = before.select(F.col(key).alias("key"), F.col(value).alias("before"), F.lit(True).alias("had"))
+    b = now.select(F.col(key).alias("key"), F.col(value).alias("now"), F.lit(True).alias("has"))
+    both = a.join(b, "key", "full")
+    return both.filter(F.col("had").isNull() | F.col("has").isNull() | ~F.col("before").eqNullSafe(F.col("now"))).select("key", "before", "now")
+
+
+def first_source(candidates: list[tuple[str, Callable[[], DataFrame | None]]]) -> tuple[str, DataFrame | None]:
+    """The first candidate with any row, by its name: depth bundle, live workspace, largest dense cloud, sparse cloud. Later
+    ones are never opened."""
+    for name, opened in candidates:
+        df = opened()
+        if df is not None and not df.isEmpty():
+            return name, df
+    return "none", None
+
+
+def model_priors(names: DataFrame, priors: DataFrame, name: str = "name", warn: int = 5) -> tuple[DataFrame, str]:
+    """Registered images with their priors, and a verdict: ``ok``, ``few`` below ``warn``. None at all is an error."""
+    both = names.join(priors, name)
+    n = both.limit(warn).count()
+    if not n:
+        raise ValueError("no registered image has a prior")
+    return both, "ok" if n >= warn else "few"
+
+
+def head(df: DataFrame, order: list[str], n: int = 8) -> DataFrame:
+    """The first rows for a message; a top-n a task, never a full sort."""
+    return df.orderBy(*order).limit(n)

@@ -43,3 +43,16 @@ def depth_gate(sampled: str, expected: str, tolerance: float) -> Column:
 
 def alpha(near: Column, painted: Column) -> Column:
     return F.when(near & painted, 255).otherwise(0)
+
+
+def sample_photo(points: DataFrame, pixels: DataFrame, by: tuple[str, ...] = (), values: tuple[str, ...] = ("c",)) -> DataFrame:
+    """Bilinear photo colours at ``u`` (column) and ``v`` (row) of ``points``; a neighbour outside the photo counts as 0.
+
+    Four equi-joins' worth in one: each point asks for its neighbours of weight above 0, which are summed by ``k``."""
+    u, v = F.floor("u"), F.floor("v")
+    du, dv = F.col("u") - u, F.col("v") - v
+    four = F.array(*[F.struct((v + i).cast("int").alias("row"), (u + j).cast("int").alias("col"), ((dv if i else 1 - dv) * (du if j else 1 - du)).alias("w"))
+                     for i in (0, 1) for j in (0, 1)])
+    asked = points.select("k", *by, F.explode(F.filter(four, lambda s: s["w"] > 0)).alias("s")).select("k", *by, "s.*")
+    got = asked.join(pixels.select(*by, "row", "col", *values), [*by, "row", "col"], "left")
+    return got.groupBy("k", *by).agg(*[F.sum(F.col("w") * F.coalesce(c, F.lit(0.0))).alias(c) for c in values])

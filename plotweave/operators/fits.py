@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,10 +78,13 @@ def trend_surface(points: DataFrame, degree: int = 2, sigma: float = 3.0, rounds
     """Polynomial surface by least squares with clipping: x0, y0, scale, coefficients by (i, j), kept.
 
     Coordinates are centred and scaled first, which keeps the normal equations of full rank. A round is one aggregation of
-    moments and one of the residuals' spread; the data stay where they are."""
+    moments and one of the residuals' spread; the data stay where they are. A point once clipped stays out; clipping ends
+    when the spread is round-off (1e-9 of the heights' range)."""
+    points = points.select("x", "y", "z").filter("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL").persist(StorageLevel.MEMORY_AND_DISK)
     c = points.agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.max(F.abs("x")).alias("m"), F.min("x").alias("x0"), F.max("x").alias("x1"),
-                   F.min("y").alias("y0"), F.max("y").alias("y1")).first()
+                   F.min("y").alias("y0"), F.max("y").alias("y1"), (F.max("z") - F.min("z")).alias("range")).first()
     if c["x"] is None:
+        points.unpersist()
         raise ValueError("no points")
     scale = max(c["x1"] - c["x0"], c["y1"] - c["y0"]) / 2 or 1.0
     terms = [(i, j) for i in range(degree + 1) for j in range(degree + 1 - i)]
@@ -97,8 +101,11 @@ def trend_surface(points: DataFrame, degree: int = 2, sigma: float = 3.0, rounds
         coef = np.linalg.lstsq(normal, np.array([x or 0.0 for x in m[len(pairs):-1]]), rcond=None)[0]
         resid = F.col("z") - sum((F.lit(float(coef[k])) * basis[k] for k in range(1, len(terms))), F.lit(float(coef[0])) * basis[0])
         spread = rows.agg(F.stddev_pop(resid)).first()[0] or 0.0
-        kept = F.abs(resid) < sigma * spread if spread > 0 else F.lit(True)
+        if spread <= 1e-9 * c["range"]:
+            break
+        kept = kept & (F.abs(resid) < sigma * spread)
     n = p.filter(kept).count()
+    points.unpersist()
     return {"x0": c["x"], "y0": c["y"], "scale": scale, "terms": terms, "coef": coef.tolist(), "kept": n}
 
 

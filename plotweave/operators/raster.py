@@ -157,5 +157,7 @@ def blobs(mask: DataFrame, by: tuple[str, ...] = (), max_rounds: int = 200) -> D
         labels = then
         if not changed:
             break
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     out = cells.join(labels, [*by, "run"]).drop("run")
     return out.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy(*by, "blob")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.photo import flight_key
 from ..operators import catalog
+from ..session import scratch
 from .registering import query
 from .views import images, read, view
 
@@ -45,10 +46,48 @@ def pipeline_status(spark, d):
     return flight_files(spark, d).select("crop", "flight", catalog.completeness(need_bundle=True).alias("reason"))
 
 
-@query("""SELECT crop, flight, bool_or(event_id % 7 = 0) AS ok FROM (SELECT *, row_number() OVER (PARTITION BY crop, flight ORDER BY name) AS k FROM frames) WHERE k <= 5 GROUP BY crop, flight""", "frames")
-def preflight_dewarp(spark, d):
-    first = catalog.first_n(view(spark, d, "frames"), 5, ["crop", "flight"], ["name"])
-    return first.groupBy("crop", "flight").agg(F.bool_or(F.col("event_id") % 7 == 0).alias("ok"))
+_SOURCE = "CASE WHEN first % 2 = 0 THEN 'bundle' WHEN first % 4 = 3 THEN 'workspace' WHEN n * 40 >= 1000 THEN 'dense' ELSE 'sparse' END"
+
+
+@query(f"SELECT crop, flight, {_SOURCE} AS source FROM {_FLIGHTS}")
+def depth_source(spark, d):
+    """A flight's depth: bundle, live workspace, dense cloud, else the sparse one."""
+    has = lambda name, cond: F.when(cond, name)
+    return flight_files(spark, d).select("crop", "flight", F.coalesce(
+        has("bundle", F.col("bundle_bytes").isNotNull()), has("workspace", F.col("sfm_files") == 5), has("dense", F.col("ply_points") >= 1000), F.lit("sparse")).alias("source"))
+
+
+_SUFFIX = "CASE WHEN event_id % 400 = 0 THEN '.jpg' WHEN event_id % 400 = 1 THEN '.jPg' ELSE '.txt' END"
+
+
+@query(f"SELECT DISTINCT '/data/' || crop || '/' || flight AS path FROM frames WHERE {_SUFFIX} = '.jpg'", "frames")
+def flights_with_images(spark, d):
+    f = view(spark, d, "frames").withColumn("path", F.concat(F.lit("/data/"), "crop", F.lit("/"), "flight"))
+    return catalog.has_images(f.select("path").distinct(), f.select(F.concat("path", F.lit("/"), "name", F.expr(_SUFFIX)).alias("path")))
+
+
+@query("""SELECT coalesce(a.key, b.key) AS key, a.value AS before, b.value AS now FROM (SELECT n_name AS key, CAST(n_regionkey AS VARCHAR) AS value FROM nation WHERE n_nationkey < 20) a FULL JOIN
+(SELECT n_name AS key, CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE CAST(n_regionkey AS VARCHAR) END AS value FROM nation WHERE n_nationkey >= 5) b ON a.key = b.key
+WHERE a.key IS NULL OR b.key IS NULL OR a.value IS DISTINCT FROM b.value""")
+def stamp_changes(spark, d):
+    """Two stamps of the same workspace, each without some of the other's settings."""
+    n = read(spark, d, "nation").withColumn("key", F.col("n_name")).withColumn("value", F.col("n_regionkey").cast("string"))
+    now = n.filter("n_nationkey >= 5").withColumn("value", F.when(F.col("n_nationkey") % 4 != 0, F.col("value")))
+    return catalog.stamp_changes(now, n.filter("n_nationkey < 20"))
+
+
+@query("SELECT i.image_id, i.name, p.py, 'ok' AS verdict FROM images i JOIN priors p USING (image_id)", "images", "priors")
+def model_priors(spark, d):
+    i = images(spark, d)
+    p = view(spark, d, "priors").join(i, "image_id").select("name", "py")
+    both, verdict = catalog.model_priors(i, p)
+    return both.select("image_id", "name", "py", F.lit(verdict).alias("verdict"))
+
+
+@query("SELECT image_id, name FROM images WHERE image_id NOT IN (SELECT image_id FROM priors) ORDER BY name LIMIT 8", "images", "priors")
+def first_without_prior(spark, d):
+    """A message's first eight names."""
+    return catalog.head(images(spark, d).join(view(spark, d, "priors"), "image_id", "left_anti"), ["name"])
 
 
 @query("""SELECT (SELECT count(*) FROM images) AS n_images, (SELECT count(*) FROM priors) AS n_priors, (SELECT count(*) FROM images WHERE image_id NOT IN (SELECT image_id FROM priors)) AS n_missing,
@@ -120,9 +159,8 @@ def latest_artifact(spark, d):
 @query(f"SELECT crop, flight, first % 2 = 0 AS matched, first % 2 = 0 AND first % 3 = 0 AS verified, first % 5 <> 0 AS raw, first % 5 <> 0 AND n >= 10 AS refined, n * 40 >= 1000 AS fused FROM {_FLIGHTS}")
 def resume_flags(spark, d):
     c = F.col
-    return flight_files(spark, d).select(
-        "crop", "flight", (c("first") % 2 == 0).alias("matched"), ((c("first") % 2 == 0) & (c("first") % 3 == 0)).alias("verified"),
-        c("has_npz").alias("raw"), (c("has_npz") & (c("n") >= 10)).alias("refined"), (c("ply_points") >= 1000).alias("fused"))
+    x = catalog.resume_flags(flight_files(spark, d), c("first") % 2 == 0, c("first") % 3 == 0, c("has_npz"), c("n") >= 10, c("ply_points") >= 1000)
+    return x.select("crop", "flight", "matched", "verified", "raw", "refined", "fused")
 
 
 @query(f"SELECT status, count(*) AS n_flights, sum(n)::BIGINT AS n_photos FROM {_FLIGHTS} GROUP BY status")
@@ -154,16 +192,20 @@ def status_json(spark, d):
 def csv_roundtrip(spark, d):
     import uuid
 
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/plotweave").rstrip("/")
     x = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "n_regionkey", "r_name")
-    path = f"{base}/csv-{uuid.uuid4().hex}"
+    path = f"{scratch(spark)}/csv-{uuid.uuid4().hex}"
     x.coalesce(1).write.option("header", True).csv(path)
     return spark.read.option("header", True).schema(x.schema).csv(path)
 
 
-@query("SELECT crop, flight, name, heading FROM (SELECT *, row_number() OVER (PARTITION BY crop ORDER BY flight, name) AS k FROM frames WHERE event_id % 13 = 0) WHERE k = 1", "frames")
+@query("SELECT crop, flight, name, fx FROM (SELECT *, 371329e-2 AS fx, row_number() OVER (PARTITION BY crop ORDER BY flight, name) AS k FROM frames WHERE event_id % 6 <> 0) WHERE k = 1", "frames")
 def first_calibration(spark, d):
-    x = view(spark, d, "frames").withColumn("cal", F.when(F.col("event_id") % 13 == 0, F.struct("flight", "name", "heading")))
+    """The first photo by flight and name whose XMP has a calibration."""
+    from ..functions.photo import xmp_dewarp
+    from .photos import xmp
+
+    x = xmp(spark, d).withColumn("name", F.lpad(F.col("event_id").cast("string"), 9, "0")).withColumn("w", xmp_dewarp("xmp"))
+    x = x.withColumn("cal", F.when(F.col("w").isNotNull(), F.struct("flight", "name", F.col("w.fx").alias("fx"))))
     return x.groupBy("crop").agg(F.min("cal").alias("c")).filter("c IS NOT NULL").select("crop", "c.*")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..functions import photo as P
-from ..operators import catalog
+from ..operators import catalog, flightlines
 from ..operators.joins import band_pairs
 from .registering import query
 from .views import read, view
@@ -16,6 +16,7 @@ GROUP = ["crop", "flight"]
 _XMP = ("'<x:xmpmeta drone:GpsLatitude=\"' || cast(user_id as string) || '.25\" drone:GpsLongtitude=\"-' || cast(event_id % 180 as string) || '.5\"' || "
         "CASE WHEN event_id % 3 = 0 THEN '' ELSE ' AbsoluteAltitude=\"+' || cast(event_id % 50 as string) || '\"' END || "
         "CASE WHEN event_id % 4 = 0 THEN ' FlightYawDegree=\"n/a\" GimbalYawDegree=\"' || cast((event_id * 37) % 360 as string) || '.0\"' ELSE ' FlightYawDegree=\"' || cast((event_id * 37) % 360 as string) || '\"' END || "
+        "' GimbalPitchDegree=\"-' || CASE WHEN event_id % 9 = 0 THEN '60' ELSE '90' END || '.0\"' || "
         "' RtkStdLon=\"0.0' || cast(event_id % 9 as string) || '\" RtkStdLat=\"0.01\" RtkStdHgt=\"0.0' || cast(event_id % 7 as string) || '\" RtkFlag=\"' || CASE WHEN event_id % 5 = 0 THEN '16' ELSE '50' END || '\"' || "
         "' DewarpData=\"2024-01-01;3713.29,3713.29,7.02,-8.72,-0.11,0.01,-0.0001,0.0002' || CASE WHEN event_id % 6 = 0 THEN '' ELSE ',-0.0' || cast(event_id % 8 as string) END || '\"></x:xmpmeta>'")
 
@@ -51,9 +52,8 @@ def gps_coalesce(spark, d):
 @query("""SELECT crop, flight, round(median(greatest((event_id % 9) / 1e2, 1e-2)), 6) AS xy, round(median((event_id % 7) / 1e2), 6) AS z, round(avg(CASE WHEN event_id % 5 <> 0 THEN 1 ELSE 0 END), 6) AS fixed
 FROM frames GROUP BY crop, flight""", "frames")
 def rtk_quality(spark, d):
-    x = xmp(spark, d).withColumn("s", P.rtk("xmp"))
-    return x.groupBy(*GROUP).agg(N.r6(F.median(F.greatest("s.lon", "s.lat"))).alias("xy"), N.r6(F.median("s.hgt")).alias("z"),
-                                 N.r6(F.avg((F.col("s.flag") == 50).cast("int"))).alias("fixed"))
+    x = flightlines.rtk_quality(xmp(spark, d).withColumn("rtk", P.rtk("xmp")), GROUP)
+    return x.select(*GROUP, *[N.r6(c).alias(c) for c in ("xy", "z", "fixed")])
 
 
 @query("""SELECT event_id, round((f.lon - o.lon) * 111320e0 * cos(radians(o.lat)), 6) + 0e0 AS e, round((f.lat - o.lat) * 110540e0, 6) + 0e0 AS n FROM frames f
@@ -94,39 +94,22 @@ def centroid_shift(spark, d):
     return x.select("event_id", *[(F.round(F.col(a) - F.col(b), 4) + 0.0).alias(k) for a, b, k in (("east", "ce", "e"), ("north", "cn", "n"), ("alt", "ca", "alt"))])
 
 
-def axis(x: DataFrame) -> DataFrame:
-    """Azimuth of the flight lines: circular mean of the doubled headings of nadir photos."""
-    h = 2 * F.radians("heading")
-    near = x.filter(F.col("pitch") <= -80)
-    return near.groupBy(*GROUP).agg((F.atan2(F.round(F.avg(F.sin(h)), 9), F.round(F.avg(F.cos(h)), 9)) / 2).alias("axis"))
-
-
 _AXIS = "SELECT crop, flight, atan2(round(avg(sin(2 * radians(heading))), 9), round(avg(cos(2 * radians(heading))), 9)) / 2 AS axis FROM frames WHERE pitch <= -80 GROUP BY 1, 2"
 
 
 @query(f"SELECT crop, flight, round(axis, 6) AS axis FROM ({_AXIS})", "frames")
 def axis_azimuth(spark, d):
-    return axis(view(spark, d, "frames")).select(*GROUP, N.r6("axis").alias("axis"))
+    return flightlines.axis(view(spark, d, "frames"), GROUP).select(*GROUP, N.r6("axis").alias("axis"))
 
 
 @query(f"SELECT event_id, round(east * sin(axis) + north * cos(axis), 5) AS along, round(east * cos(axis) - north * sin(axis), 5) AS across FROM frames JOIN ({_AXIS}) USING (crop, flight)", "frames")
 def track_rotation(spark, d):
     x = view(spark, d, "frames")
-    x = x.join(axis(x), GROUP)
+    x = x.join(flightlines.axis(x, GROUP), GROUP)
     s, c = F.sin("axis"), F.cos("axis")
     return x.select("event_id", F.round(F.col("east") * s + F.col("north") * c, 5).alias("along"), F.round(F.col("east") * c - F.col("north") * s, 5).alias("across"))
 
 
-def steps(x: DataFrame) -> DataFrame:
-    """Distances between consecutive nadir photos of like heading (no heading counts as 0)."""
-    w = Window.partitionBy(*GROUP).orderBy("name")
-    near = x.filter(F.col("pitch") <= -80).withColumn("h", F.coalesce("heading", F.lit(0.0)))
-    near = near.select(*GROUP, "name", "h", "east", "north", *[F.lag(c).over(w).alias(f"p{c}") for c in ("h", "east", "north")])
-    turn = F.abs(F.pmod(F.col("h") - F.col("ph") + 180, F.lit(360.0)) - 180)
-    dist = F.sqrt((F.col("east") - F.col("peast")) ** 2 + (F.col("north") - F.col("pnorth")) ** 2)
-    return near.filter(turn < 20).select(*GROUP, "name", dist.alias("step")).filter((F.col("step") > 0.1) & (F.col("step") < 20))
-
-
 _STEPS = """SELECT crop, flight, step FROM (SELECT crop, flight, sqrt((east - pe) ** 2 + (north - pn) ** 2) AS step, abs(((h - ph + 180 + 360) % 360) - 180) AS turn FROM (SELECT crop, flight, heading AS h, east, north,
 lag(heading) OVER w AS ph, lag(east) OVER w AS pe, lag(north) OVER w AS pn FROM frames WHERE pitch <= -80 WINDOW w AS (PARTITION BY crop, flight ORDER BY name))) WHERE turn < 20 AND step > 1e-1 AND step < 20"""
 
@@ -134,18 +117,13 @@ lag(heading) OVER w AS ph, lag(east) OVER w AS pe, lag(north) OVER w AS pn FROM
 @query(f"""SELECT f.crop, f.flight, coalesce(s.n, 0) AS n, round(coalesce(s.p / 2e-1 / 3e3, 317e-5), 8) AS gsd FROM (SELECT DISTINCT crop, flight FROM frames) f
 LEFT JOIN (SELECT crop, flight, count(*) AS n, quantile_cont(step, 25e-2) AS p FROM ({_STEPS}) GROUP BY 1, 2) s ON s.crop = f.crop AND s.flight = f.flight""", "frames")
 def gsd_estimate(spark, d):
-    x = view(spark, d, "frames")
-    s = steps(x).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), F.percentile("step", 0.25).alias("p"))
-    out = x.select(*GROUP).distinct().join(s, GROUP, "left")
-    return out.select(*GROUP, F.coalesce("n", F.lit(0)).alias("n"), F.round(F.coalesce(F.col("p") / 0.2 / 3000, F.lit(0.00317)), 8).alias("gsd"))
+    return flightlines.gsd(view(spark, d, "frames"), GROUP).select(*GROUP, "n", F.round("gsd", 8).alias("gsd"))
 
 
 @query("""SELECT crop, flight, count(gap) AS n_gaps, round(median(gap), 6) AS spacing FROM (SELECT crop, flight, c - lag(c) OVER (PARTITION BY crop, flight ORDER BY c) AS gap FROM
 (SELECT crop, flight, median(north) AS c FROM frames GROUP BY crop, flight, round_even(north / 5, 0) HAVING count(*) >= 2)) GROUP BY crop, flight""", "frames")
 def row_spacing(spark, d):
-    rows = view(spark, d, "frames").groupBy(*GROUP, F.rint(F.col("north") / 5).alias("bin")).agg(F.median("north").alias("c"), F.count(F.lit(1)).alias("n")).filter("n >= 2")
-    gap = F.col("c") - F.lag("c").over(Window.partitionBy(*GROUP).orderBy("c"))
-    return rows.select(*GROUP, gap.alias("gap")).groupBy(*GROUP).agg(F.count("gap").alias("n_gaps"), N.r6(F.median("gap")).alias("spacing"))
+    return flightlines.row_spacing(view(spark, d, "frames"), GROUP).select(*GROUP, "n_gaps", N.r6("spacing").alias("spacing"))
 
 
 def pairs(spark, d) -> DataFrame:
@@ -201,10 +179,52 @@ def edge_class(spark, d):
     return p.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT event_id, name, pitch > -80 AS oblique FROM frames WHERE coalesce(pitch > -80, false) = (event_id % 2 = 0)", "frames")
+@query("SELECT event_id, name, coalesce(pitch > -80, false) AS oblique FROM frames", "frames")
 def oblique_filter(spark, d):
-    tilted = F.coalesce(F.col("pitch") > -80, F.lit(False))
-    return view(spark, d, "frames").select("event_id", "name", tilted.alias("oblique")).filter(F.col("oblique") == (F.col("event_id") % 2 == 0))
+    return view(spark, d, "frames").select("event_id", "name", P.is_oblique(F.col("pitch")).alias("oblique"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 9 = 0 THEN -60e0 ELSE -90e0 END AS pitch, event_id % 9 = 0 AS oblique FROM events")
+def xmp_pitch(spark, d):
+    p = P.pitch("xmp")
+    return xmp(spark, d).select("event_id", p.alias("pitch"), P.is_oblique(p).alias("oblique"))
+
+
+@query("""SELECT crop, flight, bool_or(event_id % 6 <> 0) AS ok FROM (SELECT *, row_number() OVER (PARTITION BY crop, flight ORDER BY name) AS k FROM frames) WHERE k <= 5 GROUP BY crop, flight""", "frames")
+def preflight_dewarp(spark, d):
+    x = xmp(spark, d).withColumn("name", F.lpad(F.col("event_id").cast("string"), 9, "0"))
+    return catalog.preflight_dewarp(x, GROUP)
+
+
+@query("SELECT l_suppkey % 200 AS a, l_linenumber AS b, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) >= 15")
+def min_matches(spark, d):
+    x = read(spark, d, "lineitem").selectExpr("l_suppkey % 200 AS a", "l_linenumber AS b")
+    return catalog.min_matches(x, ["a", "b"])
+
+
+_TURN = 0.5235987755982988  # 30 degrees
+
+
+@query(f"""SELECT k, CAST(least(floor(y / 1000), 2) AS INT) AS tile_row, CAST(least(floor(x / 1000), 3) AS INT) AS tile_col, round(x - 1000 * least(floor(x / 1000), 3), 6) AS tx, round(y - 1000 * least(floor(y / 1000), 2), 6) AS ty,
+round(2000 + (x - 2000) * cos({_TURN}) - (y - 1500) * sin({_TURN}), 6) AS rx, round(1500 + (x - 2000) * sin({_TURN}) + (y - 1500) * cos({_TURN}), 6) AS ry, round(x, 6) AS bx, round(y, 6) AS by
+FROM (SELECT p_partkey AS k, (p_partkey * 37 % 4000) + 25e-2 AS x, (p_partkey * 53 % 3000) + 5e-1 AS y FROM part)""")
+def keypoint_tiles(spark, d):
+    """Feature tiles, and keypoints turned with the photo and mapped back."""
+    x = read(spark, d, "part").selectExpr("p_partkey AS k", "(p_partkey * 37 % 4000) + 25e-2 AS x", "(p_partkey * 53 % 3000) + 5e-1 AS y")
+    r, c, tx, ty = N.feature_tile("x", "y", 4000, 3000)
+    rx, ry = N.rotated("x", "y", 30.0, 2000.0, 1500.0)
+    x = x.select("k", r.alias("tile_row"), c.alias("tile_col"), N.r6(tx).alias("tx"), N.r6(ty).alias("ty"), rx.alias("rx"), ry.alias("ry"))
+    bx, by = N.rotated("rx", "ry", -30.0, 2000.0, 1500.0)
+    return x.select("k", "tile_row", "tile_col", "tx", "ty", N.r6("rx").alias("rx"), N.r6("ry").alias("ry"), N.r6(bx).alias("bx"), N.r6(by).alias("by"))
+
+
+@query(f"""SELECT p.crop, p.flight, p.a, p.b, a.north AS a_north, a.east AS a_east, b.north AS b_north, b.east AS b_east, round(sqrt((a.north - b.north) ** 2 + (a.east - b.east) ** 2), 6) AS length
+FROM ({_PAIRS}) p JOIN frames a ON a.event_id = p.a JOIN frames b ON b.event_id = p.b""", "frames")
+def match_graph(spark, d):
+    """Edges of the match graph with both ends' places, as a figure draws them."""
+    p = pairs(spark, d)
+    length = F.sqrt((F.col("a_north") - F.col("b_north")) ** 2 + (F.col("a_east") - F.col("b_east")) ** 2)
+    return p.select(F.col("a_crop").alias("crop"), F.col("a_flight").alias("flight"), F.col("a_event_id").alias("a"), F.col("b_event_id").alias("b"), "a_north", "a_east", "b_north", "b_east", N.r6(length).alias("length"))
 
 
 @query("""SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN 'SIMPLE_RADIAL' WHEN 1 THEN 'PINHOLE' ELSE 'OPENCV' END AS model,

@@ -69,15 +69,14 @@ def datum_qc(spark, d):
 
 
 @query("""SELECT l.line_name, f.flight, round(g.mean, 6) AS mean, round(g.std, 6) AS std FROM
-(SELECT DISTINCT line_name FROM facts JOIN design USING (plot_id) WHERE plot_id % 5 = 0) l CROSS JOIN (SELECT DISTINCT flight FROM facts) f LEFT JOIN
-(SELECT line_name, flight, avg(h_p90) AS mean, stddev_samp(h_p90) AS std FROM facts JOIN design USING (plot_id) WHERE plot_id % 5 = 0 AND flight < '1996' GROUP BY 1, 2) g
+(SELECT DISTINCT line_name FROM facts JOIN design USING (plot_id)) l CROSS JOIN (SELECT DISTINCT flight FROM facts) f LEFT JOIN
+(SELECT line_name, flight, avg(h_p90) AS mean, stddev_samp(h_p90) AS std FROM facts JOIN design USING (plot_id) GROUP BY 1, 2) g
 ON g.line_name = l.line_name AND g.flight = f.flight""", "facts", "design")
 def growth_calendar(spark, d):
-    x = facts(spark, d)
-    some = zonal.with_lines(x.filter("plot_id % 5 = 0"), view(spark, d, "design"))
-    lines = some.filter("line_name IS NOT NULL").select("line_name").distinct()
-    g = zonal.growth(some.filter("flight < '1996'"), "h_p90")
-    calendar = lines.crossJoin(x.select("flight").distinct())
+    every = zonal.with_lines(facts(spark, d), view(spark, d, "design"))
+    some = every.filter("line_name IS NOT NULL")
+    g = zonal.growth(some, "h_p90")
+    calendar = some.select("line_name").distinct().crossJoin(every.select("flight").distinct())  # lines x flights
     return rounded(calendar.join(g, ["line_name", "flight"], "left"))
 
 
@@ -108,21 +107,21 @@ def tile_stats(spark, d):
         F.count(F.lit(1)).alias("n"), r6(F.avg("dsm")).alias("mean"), r6(F.max("dsm") - F.min("dsm")).alias("relief"))
 
 
-@query("SELECT g.plot_id AS grid_id, n.p_partkey AS plot_id FROM (SELECT plot_id, row_number() OVER (ORDER BY r, c) AS k FROM plots WHERE plot_id < 200) g JOIN (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS k FROM part WHERE p_partkey < 200) n USING (k)", "plots")
+@query("SELECT g.plot_id AS grid_id, n.id AS plot_id FROM (SELECT plot_id, row_number() OVER (ORDER BY r, c) AS k FROM plots) g JOIN (SELECT 7 * plot_id + 3 AS id, row_number() OVER (ORDER BY plot_id) AS k FROM plots) n USING (k)", "plots")
 def assign_ids(spark, d):
-    g = grid(spark).filter("plot_id < 200").withColumn("grid_id", F.col("plot_id"))
-    return zonal.assign_ids(g, view(spark, d, "design").filter("plot_id < 200")).select("grid_id", "plot_id")
+    """All plots of the layout get the ids of a design of equal length, by place."""
+    g = grid(spark).withColumn("grid_id", F.col("plot_id"))
+    return zonal.assign_ids(g, grid(spark).select((7 * F.col("plot_id") + 3).alias("plot_id"))).select("grid_id", "plot_id")
 
 
-@query("SELECT p.plot_id, round(f.v, 6) AS v FROM plots p LEFT JOIN (SELECT plot_id, max(h_max) AS v FROM facts WHERE flight = '1995' GROUP BY 1) f USING (plot_id)", "facts", "plots")
+@query("SELECT p.plot_id, f.flight, round(f.h_max, 6) AS v FROM plots p LEFT JOIN facts f USING (plot_id)", "facts", "plots")
 def plot_values(spark, d):
-    f = facts(spark, d).filter("flight = '1995'").groupBy("plot_id").agg(r6(F.max("h_max")).alias("v"))
-    return grid(spark).select("plot_id").join(f, "plot_id", "left")
+    return grid(spark).select("plot_id").join(facts(spark, d).select("plot_id", "flight", r6("h_max").alias("v")), "plot_id", "left")
 
 
-@query("SELECT flight, plot_id, round(h_max, 6) AS h_max FROM facts WHERE flight = '1997' ORDER BY plot_id, flight", "facts")
+@query("SELECT flight, plot_id, round(h_max, 6) AS h_max FROM facts ORDER BY plot_id, flight", "facts")
 def sorted_results(spark, d):
-    return rounded(facts(spark, d).filter("flight = '1997'"), "flight", "plot_id", "h_max").orderBy("plot_id", "flight")
+    return rounded(facts(spark, d), "flight", "plot_id", "h_max").orderBy("plot_id", "flight")
 
 
 @query("SELECT 'VARI' AS chosen, count(VARI) AS n, round(avg(VARI), 6) AS mean FROM (SELECT (g - r) / (g + r - b + 1e-6) AS VARI FROM (SELECT CAST(r AS DOUBLE) AS r, CAST(g AS DOUBLE) AS g, CAST(b AS DOUBLE) AS b FROM rgb))", "rgb")

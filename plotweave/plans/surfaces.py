@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
-from ..operators import fits, raster
+from ..operators import clouds, fits, raster
 from ..operators.compose import alpha
 from ..operators.joins import resample_bilinear as resample
 from .plots import plot_pixels
+from ..session import scratch
 from .registering import query
 from .views import SQL, cells, surface, view
 
@@ -44,17 +45,12 @@ def chm_clip(spark, d):
 @query("""SELECT CAST(floor((5214995e0 - y) / 5e-1) AS INT) AS row, CAST(floor((x - 541005e0) / 5e-1) AS INT) AS col, round(max(z), 6) AS z, count(*) AS n FROM points
 WHERE x >= 541005e0 AND x < 541030e0 AND y > 5214980e0 AND y <= 5214995e0 AND z BETWEEN 4302e-1 AND 4308e-1 GROUP BY 1, 2""", "points")
 def splat_bounds(spark, d):
-    p = view(spark, d, "points").filter((F.col("x") >= 541005.0) & (F.col("x") < 541030.0) & (F.col("y") > 5214980.0) & (F.col("y") <= 5214995.0)
-                                        & F.col("z").between(430.2, 430.8))
-    row, col = N.grid_cell("x", "y", 541005.0, 5214995.0, 0.5)
-    return p.groupBy(row.alias("row"), col.alias("col")).agg(N.r6(F.max("z")).alias("z"), F.count(F.lit(1)).alias("n"))
+    return clouds.splat(view(spark, d, "points"), (541005.0, 5214980.0, 541030.0, 5214995.0), (430.2, 430.8), 0.5).select("row", "col", N.r6("z").alias("z"), "n")
 
 
 @query("""SELECT flight, count(*) AS n, round(min(z), 6) AS low, round(max(z), 6) AS high FROM points WHERE z >= (SELECT median(z) - 3e-1 FROM points) AND z <= (SELECT min(z) - 92e-1 FROM poses) GROUP BY flight""", "points", "poses")
 def z_gate(spark, d):
-    p = view(spark, d, "points")
-    gate = p.agg((F.median("z") - 0.3).alias("low")).crossJoin(view(spark, d, "poses").agg((F.min("z") - 9.2).alias("high")))
-    x = p.crossJoin(F.broadcast(gate)).filter(F.col("z").between(F.col("low"), F.col("high")))  # one row
+    x = clouds.z_gate(view(spark, d, "points"), view(spark, d, "poses"), 0.3, 9.2)
     return x.groupBy("flight").agg(F.count(F.lit(1)).alias("n"), N.r6(F.min("z")).alias("low"), N.r6(F.max("z")).alias("high"))
 
 
@@ -65,12 +61,7 @@ def _iqr_sql(c: str) -> str:
 @query(f"""SELECT flight, count(*) AS n, round(min(x), 6) AS x0, round(max(x), 6) AS x1, round(min(z), 6) AS z0, round(max(z), 6) AS z1 FROM points,
 (SELECT {', '.join(f'quantile_cont({c}, [25e-2, 75e-2]) AS q{c}' for c in 'xyz')} FROM points) WHERE {' AND '.join(_iqr_sql(c) for c in 'xyz')} GROUP BY flight""", "points")
 def iqr_trim(spark, d):
-    p = view(spark, d, "points")
-    q = p.agg(*[F.percentile(c, F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{c}") for c in "xyz"])  # before any axis is trimmed
-    x = p.crossJoin(F.broadcast(q))
-    for c in "xyz":
-        lo, hi = F.col(f"q{c}")[0], F.col(f"q{c}")[1]
-        x = x.filter(F.col(c).between(lo - 0.3 * (hi - lo), hi + 0.3 * (hi - lo)))
+    x = clouds.iqr_trim(view(spark, d, "points"), ("x", "y", "z"), 0.3)
     return x.groupBy("flight").agg(F.count(F.lit(1)).alias("n"), N.r6(F.min("x")).alias("x0"), N.r6(F.max("x")).alias("x1"),
                                    N.r6(F.min("z")).alias("z0"), N.r6(F.max("z")).alias("z1"))
 
@@ -88,9 +79,7 @@ def otsu_threshold(spark, d):
 @query("""SELECT row // 8 AS br, col // 8 AS bc, count(*) AS n, round(quantile_cont(dsm, 15e-2), 6) AS seed FROM cells GROUP BY 1, 2
 HAVING count(*) >= 30 AND quantile_cont(dsm, 75e-2) - quantile_cont(dsm, 25e-2) <= 35e-2""", "cells")
 def cell_seeds(spark, d):
-    p = F.percentile("dsm", F.array(F.lit(0.15), F.lit(0.25), F.lit(0.75)))
-    g = cells(spark, d).groupBy(F.floor(F.col("row") / 8).alias("br"), F.floor(F.col("col") / 8).alias("bc")).agg(F.count(F.lit(1)).alias("n"), p.alias("p"))
-    return g.filter((F.col("n") >= 30) & (F.col("p")[2] - F.col("p")[1] <= 0.35)).select("br", "bc", "n", N.r6(F.col("p")[0]).alias("seed"))
+    return clouds.cell_seeds(cells(spark, d)).select("br", "bc", "n", N.r6("seed").alias("seed"))
 
 
 @query("""SELECT a.row, a.col, count(*) AS n, round(avg(b.z), 6) AS local_mean, CASE WHEN count(*) >= 3 THEN round(stddev_pop(b.z), 4) END AS local_std FROM surface a JOIN surface b
@@ -149,8 +138,9 @@ _GROUND_OFF = '"offset"'
 
 
 def _datum(spark, d) -> DataFrame:
-    g = mosaic_first(spark, d).select("row", "col", F.col("z").alias("g"))
-    diff = cells(spark, d).join(g, ["row", "col"]).select("flight", (F.col("dsm") - F.col("g")).alias("diff"))
+    c = cells(spark, d)
+    g = c.filter("dsm < 4306e-1").groupBy("row", "col").agg(N.r6(F.min_by("dsm", "flight")).alias("g"))
+    diff = c.join(g, ["row", "col"]).select("flight", (F.col("dsm") - F.col("g")).alias("diff"))
     return fits.median_mad(diff, "diff", ("flight",))
 
 
@@ -214,18 +204,12 @@ def bare_ground_filter(spark, d):
 
 
 def _bare(spark, d) -> DataFrame:
-    outside = F.col("row") % 7 != 0
-    dev = F.col("dsm") - 430.2
-    return plot_pixels(spark, d).withColumn("outside", outside).withColumn("bare", (F.col("plot_id") % 3 != 0) & outside & dev.between(-0.25, 0.12))
+    return clouds.bare_ground(plot_pixels(spark, d), F.col("plot_id") % 3 != 0, F.col("row") % 7 != 0, F.col("dsm") - 430.2)
 
 
 @query(f"SELECT row, col, round(min(dsm), 6) AS z FROM {_BARE} WHERE bare OR (flight = (SELECT min(flight) FROM pixels) AND plot_id % 3 = 0 AND dsm < 4305e-1) GROUP BY row, col", "pixels")
 def base_flight_ground(spark, d):
-    x = _bare(spark, d)
-    first = x.agg(F.min("flight").alias("first"))
-    x = x.crossJoin(F.broadcast(first))
-    inside = (F.col("flight") == F.col("first")) & (F.col("plot_id") % 3 == 0) & (F.col("dsm") < 430.5)
-    return x.filter(F.col("bare") | inside).groupBy("row", "col").agg(N.r6(F.min("dsm")).alias("z"))
+    return clouds.base_ground(_bare(spark, d), F.col("plot_id") % 3 == 0, 430.5).select("row", "col", N.r6("z").alias("z"))
 
 
 @query(f"SELECT flight, count(*) FILTER (WHERE bare) AS n_bare, round(avg(CASE WHEN bare THEN 1 ELSE 0 END), 6) AS of_all, round(avg(CASE WHEN bare THEN 1 ELSE 0 END) FILTER (WHERE outside), 6) AS of_outside FROM {_BARE} GROUP BY flight", "pixels")
@@ -318,7 +302,5 @@ query()(ref_surface)
 
 def _checkpoints(spark) -> None:
     """Lineage is cut in the folder that the session names; a default only where it names none."""
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir("/tmp/checkpoints/plotweave")
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(scratch(spark))

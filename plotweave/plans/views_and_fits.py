@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import numeric as N
 from ..operators import compose, fits
 from .registering import query
-from .views import images, read, view, views_of_pixels
+from .views import images, read, surface, view, views_of_pixels
 
 
 @query("""SELECT CASE WHEN tilt < 5 THEN '00-05' WHEN tilt < 10 THEN '05-10' WHEN tilt < 20 THEN '10-20' WHEN tilt < 30 THEN '20-30' WHEN tilt < 45 THEN '30-45' ELSE '45-90' END AS bucket, count(*) AS n FROM
@@ -173,3 +173,12 @@ def umeyama(spark, d):
 def lossy_casts(spark, d):
     p = view(spark, d, "poses")
     return p.select("k", ((F.col("tilt") * 2.7).cast("int") % 256).alias("u8"), (-F.col("tilt") / 7).cast("int").alias("cut"), F.round(F.col("e").cast("float").cast("double"), 4).alias("f32"))
+
+
+@query("""SELECT k, round(sum(w * coalesce(s.z, 0e0)), 6) AS c FROM (SELECT k, CAST(floor(fr) AS INT) + i AS row, CAST(floor(fc) AS INT) + j AS col, (CASE WHEN i = 1 THEN fr - floor(fr) ELSE 1 - (fr - floor(fr)) END) * (CASE WHEN j = 1 THEN fc - floor(fc) ELSE 1 - (fc - floor(fc)) END) AS w
+FROM (SELECT p_partkey AS k, (p_partkey % 113) / 4e0 AS fr, (p_partkey % 151) / 4e0 AS fc FROM part), (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j)) n LEFT JOIN surface s ON s.row = n.row AND s.col = n.col WHERE w > 0 GROUP BY k""", "surface")
+def photo_sample(spark, d):
+    """Colours at projected places of a photo; what lies outside it counts as 0."""
+    at = read(spark, d, "part").selectExpr("p_partkey AS k", "(p_partkey % 113) / 4e0 AS v", "(p_partkey % 151) / 4e0 AS u")
+    photo = surface(spark, d).select("row", "col", F.col("z").alias("c"))
+    return compose.sample_photo(at, photo).select("k", N.r6("c").alias("c"))

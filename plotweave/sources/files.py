@@ -1,7 +1,8 @@
 """File formats of survey folders, read where the files are: ``binaryFile`` rows in, typed rows out.
 
 Each reader is a generator over the bytes of one file inside ``mapInPandas``, so files spread over executors and come by
-Spark's own file systems. Unreadable files give no rows (scans) or a NULL (headers), as each docstring says.
+Spark's own file systems. Unreadable files are errors (scans, unless ``strict=False``) or a NULL (headers), as each
+docstring says.
 """
 
 from __future__ import annotations
@@ -30,8 +31,12 @@ def binary(spark: SparkSession, path: str, glob: str | None = None, recursive: b
     return (r.option("pathGlobFilter", glob) if glob else r).load(path)
 
 
-def _each(files: DataFrame, schema: str, parse: Callable[[bytes], Iterator[pd.DataFrame]]) -> DataFrame:
-    """Rows of every file with its ``path``; what can't be parsed gives none."""
+_UNREADABLE = (ValueError, KeyError, IndexError, struct.error, zlib.error, zipfile.BadZipFile, EOFError, sqlite3.DatabaseError)
+
+
+def _each(files: DataFrame, schema: str, parse: Callable[[bytes], Iterator[pd.DataFrame]], strict: bool = True) -> DataFrame:
+    """Rows of every file with its ``path``. A file that can't be parsed is an error that names it; with ``strict=False`` it
+    gives the rows before the fault, and ``failures`` lists it."""
 
     def run(frames):
         for pdf in frames:
@@ -40,12 +45,33 @@ def _each(files: DataFrame, schema: str, parse: Callable[[bytes], Iterator[pd.Da
                     for out in parse(bytes(content)):
                         out.insert(0, "path", path)
                         yield out
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error, zipfile.BadZipFile, EOFError):
-                    continue
+                except _UNREADABLE as e:
+                    if strict:
+                        raise ValueError(f"{path}: {e!r}") from e
 
     return files.select("path", "content").mapInPandas(run, f"path string, {schema}")
 
 
+def failures(files: DataFrame, kind: str) -> DataFrame:
+    """``path, error`` of the files that a reader can't parse to the end; ``kind``: ply, depth_map, depth_bundle, geotiff,
+    model_images, model_cameras or model_points."""
+    parse = {"ply": _ply, "depth_map": lambda data: iter([_colmap_array(data)]), "depth_bundle": _bundle, "geotiff": _geotiff,
+             "model_images": _model_images, "model_cameras": _model_cameras, "model_points": _model_points}[kind]
+
+    def run(frames):
+        for pdf in frames:
+            told = []
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    for _ in parse(bytes(content)):
+                        pass
+                except _UNREADABLE as e:
+                    told.append((path, repr(e)))
+            yield pd.DataFrame(told, columns=["path", "error"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, error string")
+
+
 def images(spark: SparkSession, path: str, least: int = 5) -> DataFrame:
     """JPEG files by name, any case of the suffix; fewer than ``least`` are an error."""
     name = F.element_at(F.split("path", "/"), -1)
@@ -94,8 +120,8 @@ def _ply(data: bytes, rows: int = 1 << 18) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({c: v[c][a:a + rows].astype("f8") for c in "xyz"})
 
 
-def read_ply(files: DataFrame) -> DataFrame:
-    return _each(files, "x double, y double, z double", _ply)
+def read_ply(files: DataFrame, strict: bool = True) -> DataFrame:
+    return _each(files, "x double, y double, z double", _ply, strict)
 
 
 def ply_counts(files: DataFrame) -> DataFrame:
@@ -105,7 +131,10 @@ def ply_counts(files: DataFrame) -> DataFrame:
         for pdf in frames:
             yield pd.DataFrame({"path": pdf["path"], "points": [ply_count(bytes(c)) for c in pdf["content"]]})
 
-    head = files.select("path", F.substring("content", 1, 8192).alias("content"))
+    # up to the end of the header, wherever that is in the first MiB: a header has 64 lines at most
+    start = F.substring("content", 1, 1 << 20)
+    end = F.instr(F.decode(start, "ISO-8859-1"), "end_header")
+    head = files.select("path", F.when(end > 0, F.substr(start, F.lit(1), end + 11)).otherwise(F.lit(b"")).alias("content"))
     return head.mapInPandas(run, "path string, points long")
 
 
@@ -125,22 +154,40 @@ def _depth_rows(a: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"row": row.astype("i4"), "col": col.astype("i4"), "d": a[row, col].astype("f4")})
 
 
-def read_depth_maps(files: DataFrame) -> DataFrame:
+def read_depth_maps(files: DataFrame, strict: bool = True) -> DataFrame:
     """Depth maps with a ``w&h&c&`` header: one row a valid pixel."""
-    return _each(files, "row int, col int, d float", lambda data: iter([_depth_rows(_colmap_array(data)[..., 0])]))
+    return _each(files, "row int, col int, d float", lambda data: iter([_depth_rows(_colmap_array(data)[..., 0])]), strict)
+
+
+def _bundle(data: bytes) -> Iterator[pd.DataFrame]:
+    with np.load(io.BytesIO(data), allow_pickle=False) as z:
+        for k, name in enumerate(z["names"].tolist()):
+            out = _depth_rows(z[f"d{k:04d}"].astype("f4"))
+            out.insert(0, "view", str(name))
+            yield out
 
 
-def read_depth_bundle(files: DataFrame) -> DataFrame:
+def read_depth_bundle(files: DataFrame, strict: bool = True) -> DataFrame:
     """NPZ bundles of ``names`` and one array a view, in order."""
+    return _each(files, "view string, row int, col int, d float", _bundle, strict)
 
-    def parse(data: bytes):
+
+def read_ortho_inputs(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Poses (``path, name, params, rotation, t``: row-major 3 x 3) and cloud points (``path, x, y, z``) of NPZ files of
+    ``names, K, R, t, pts``."""
+
+    def poses(data: bytes):
+        with np.load(io.BytesIO(data), allow_pickle=False) as z:
+            n = len(z["names"])
+            yield pd.DataFrame({"name": [str(x) for x in z["names"]], "params": list(z["K"].astype("f8").reshape(n, -1)),
+                                "rotation": list(z["R"].astype("f8").reshape(n, 9)), "t": list(z["t"].astype("f8").reshape(n, 3))})
+
+    def points(data: bytes):
         with np.load(io.BytesIO(data), allow_pickle=False) as z:
-            for k, name in enumerate(z["names"].tolist()):
-                out = _depth_rows(z[f"d{k:04d}"].astype("f4"))
-                out.insert(0, "view", str(name))
-                yield out
+            yield pd.DataFrame(z["pts"].astype("f8"), columns=list("xyz"))
 
-    return _each(files, "view string, row int, col int, d float", parse)
+    return (_each(files, "name string, params array<double>, rotation array<double>, t array<double>", poses),
+            _each(files, "x double, y double, z double", points))
 
 
 def read_npz(files: DataFrame, arrays: list[str]) -> DataFrame:
@@ -178,24 +225,54 @@ def tiff_tags(data: bytes, at: int | None = None, base: int = 0) -> dict[int, tu
     return out
 
 
+def lzw(data: bytes) -> bytes:
+    """Codes of 9 to 12 bits, high bit first; 256 starts anew, 257 ends; codes widen one entry early, as TIFF has it."""
+    out, table, width, last, held, have = [], [], 9, b"", 0, 0
+    for byte in data:
+        held, have = (held << 8 | byte) & 0xFFFFFFFF, have + 8
+        if have < width:
+            continue
+        have -= width
+        code = held >> have & ((1 << width) - 1)
+        if code == 256:
+            table, width, last = [bytes([k]) for k in range(256)] + [b"", b""], 9, b""
+            continue
+        if code == 257:
+            break
+        if code > len(table) or (code == len(table) and not last):
+            raise ValueError("LZW code")
+        here = table[code] if code < len(table) else last + last[:1]
+        out.append(here)
+        if last:
+            table.append(last + here[:1])
+            width = min(12, max(9, (len(table) + 1).bit_length()))
+        last = here
+    return b"".join(out)
+
+
 def _geotiff(data: bytes) -> Iterator[pd.DataFrame]:
     t = tiff_tags(data)
     order = "<" if data[:2] == b"II" else ">"
     w, h, bands = t[256][0], t[257][0], t.get(277, (1,))[0]
     kind = {1: "u", 2: "i", 3: "f"}[t.get(339, (1,))[0]] + str(t[258][0] // 8)
     packing = t.get(259, (1,))[0]
-    if packing not in (1, 8, 32946) or t.get(317, (1,))[0] != 1 or t.get(284, (1,))[0] != 1:
-        raise ValueError("packing")
+    predictor = t.get(317, (1,))[0]
+    if packing not in (1, 5, 8, 32946) or predictor not in (1, 2) or (bands > 1 and t.get(284, (1,))[0] != 1):
+        raise ValueError(f"packing {packing}, predictor {predictor}, planes {t.get(284, (1,))[0]}")
+    unpack = {1: bytes, 5: lzw}.get(packing, zlib.decompress)
     tiled = 322 in t
     bw, bh = (t[322][0], t[323][0]) if tiled else (w, t.get(278, (h,))[0])
     offsets, counts = (t[324], t[325]) if tiled else (t[273], t[279])
     scale, tie = t.get(33550, (1.0, 1.0, 0.0)), t.get(33922, (0.0,) * 6)
     across = -(-w // bw)
     for k, (o, n) in enumerate(zip(offsets, counts, strict=True)):  # a block at a time
-        raw = data[o:o + n] if packing == 1 else zlib.decompress(data[o:o + n])
+        raw = unpack(data[o:o + n])
         r0, c0 = k // across * bh, k % across * bw
         rows = bh if tiled else min(bh, h - r0)
-        a = np.frombuffer(raw, np.dtype(order + kind), rows * bw * bands).reshape(rows, bw, bands)[:h - r0, :w - c0]
+        a = np.frombuffer(raw, np.dtype(order + kind), rows * bw * bands).reshape(rows, bw, bands)
+        if predictor == 2:  # differences along the row
+            a = np.cumsum(a, axis=1, dtype=a.dtype.newbyteorder("="))
+        a = a[:h - r0, :w - c0]
         row, col = np.indices(a.shape[:2])
         row, col = row.ravel() + r0, col.ravel() + c0
         out = pd.DataFrame({"row": row.astype("i4"), "col": col.astype("i4"), "x": tie[3] + (col + 0.5) * scale[0], "y": tie[4] - (row + 0.5) * scale[1]})
@@ -204,16 +281,19 @@ def _geotiff(data: bytes) -> Iterator[pd.DataFrame]:
         yield out
 
 
-def read_geotiff(files: DataFrame) -> DataFrame:
-    """Pixels of plain or deflated, chunky GeoTIFFs: ``path, row, col, x, y, bands``; NaN is NULL."""
-    return _each(files, "row int, col int, x double, y double, bands array<double>", _geotiff)
+def read_geotiff(files: DataFrame, strict: bool = True) -> DataFrame:
+    """Pixels of plain, LZW or deflated, chunky GeoTIFFs, with or without a horizontal predictor: ``path, row, col, x, y,
+    bands``; NaN is NULL. Other packings are errors."""
+    return _each(files, "row int, col int, x double, y double, bands array<double>", _geotiff, strict)
 
 
 def geotiff_bytes(a: np.ndarray, x0: float, y0: float, res: float) -> bytes:
-    """A single-band float32 raster in one deflated strip."""
-    body = zlib.compress(np.ascontiguousarray(a, "<f4").tobytes())
-    tags = [(256, 4, (a.shape[1],)), (257, 4, (a.shape[0],)), (258, 3, (32,)), (259, 3, (8,)), (262, 3, (1,)), (273, 4, (8,)), (277, 3, (1,)),
-            (278, 4, (a.shape[0],)), (279, 4, (len(body),)), (339, 3, (3,)), (33550, 12, (res, res, 0.0)), (33922, 12, (0.0, 0.0, 0.0, x0, y0, 0.0))]
+    """One deflated strip: rows x columns of float32, or rows x columns x bands of bytes (the fourth is alpha)."""
+    a = np.ascontiguousarray(a, "u1" if a.ndim == 3 else "<f4")
+    body, bands = zlib.compress(a.tobytes()), a.shape[2] if a.ndim == 3 else 1
+    tags = [(256, 4, (a.shape[1],)), (257, 4, (a.shape[0],)), (258, 3, (8 * a.itemsize,) * bands), (259, 3, (8,)), (262, 3, (2 if bands > 2 else 1,)),
+            (273, 4, (8,)), (277, 3, (bands,)), (278, 4, (a.shape[0],)), (279, 4, (len(body),)), *([(338, 3, (2,))] if bands == 4 else []),
+            (339, 3, (1 if a.ndim == 3 else 3,) * bands), (33550, 12, (res, res, 0.0)), (33922, 12, (0.0, 0.0, 0.0, x0, y0, 0.0))]
     at = 8 + len(body) + len(body) % 2
     far, extra = at + 2 + 12 * len(tags) + 4, b""
     out = struct.pack("<H", len(tags))
@@ -248,7 +328,10 @@ def read_gps(files: DataFrame) -> DataFrame:
             got = [exif_gps(bytes(c)) or (None,) * 3 for c in pdf["content"]]
             yield pd.DataFrame({"path": pdf["path"], **{n: pd.array([g[k] for g in got], dtype="Float64") for k, n in enumerate(("lat", "lon", "alt"))}})
 
-    return files.select("path", F.substring("content", 1, 1 << 17).alias("content")).mapInPandas(run, "path string, lat double, lon double, alt double")
+    # the block is found wherever it stands; its segment has 64 KiB at most
+    at = F.instr(F.decode("content", "ISO-8859-1"), "Exif\0\0")
+    block = F.when(at > 0, F.substr("content", at, F.lit(1 << 16))).otherwise(F.lit(b""))
+    return files.select("path", block.alias("content")).mapInPandas(run, "path string, lat double, lon double, alt double")
 
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
@@ -328,6 +411,42 @@ def _model_images(data: bytes) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame(rows, columns=["image_id", "name", "camera_id", "q", "t"])
 
 
-def read_model_images(files: DataFrame) -> DataFrame:
+#: Camera models by number, and how many parameters each has.
+CAMERA_MODELS = {0: ("SIMPLE_PINHOLE", 3), 1: ("PINHOLE", 4), 2: ("SIMPLE_RADIAL", 4), 3: ("RADIAL", 5), 4: ("OPENCV", 8), 6: ("FULL_OPENCV", 12)}
+
+
+def _model_cameras(data: bytes) -> Iterator[pd.DataFrame]:
+    n, at, rows = struct.unpack_from("<Q", data)[0], 8, []
+    for _ in range(n):
+        camera, model, w, h = struct.unpack_from("<IiQQ", data, at)
+        name, size = CAMERA_MODELS[model]
+        rows.append((camera, name, w, h, list(struct.unpack_from(f"<{size}d", data, at + 24))))
+        at += 24 + 8 * size
+    yield pd.DataFrame(rows, columns=["camera_id", "model", "width", "height", "params"])
+
+
+def _model_points(data: bytes, rows: int = 1 << 16) -> Iterator[pd.DataFrame]:
+    n, at, out = struct.unpack_from("<Q", data)[0], 8, []
+    for _ in range(n):
+        point, x, y, z, r, g, b, error, track = struct.unpack_from("<Q3d3BdQ", data, at)
+        at += 51 + 8 * track
+        out.append((point, x, y, z, r, g, b, error, track))
+        if len(out) == rows:
+            yield pd.DataFrame(out, columns=["point_id", *"xyzrgb", "error", "n_views"])
+            out = []
+    yield pd.DataFrame(out, columns=["point_id", *"xyzrgb", "error", "n_views"])
+
+
+def read_model_cameras(files: DataFrame, strict: bool = True) -> DataFrame:
+    """Cameras of a binary sparse model."""
+    return _each(files, "camera_id long, model string, width long, height long, params array<double>", _model_cameras, strict)
+
+
+def read_model_points(files: DataFrame, strict: bool = True) -> DataFrame:
+    """Points of a binary sparse model with colour, error and how many views see them."""
+    return _each(files, "point_id long, x double, y double, z double, r int, g int, b int, error double, n_views long", _model_points, strict)
+
+
+def read_model_images(files: DataFrame, strict: bool = True) -> DataFrame:
     """Registered images of a binary sparse model: rotation quaternion (w first) and translation."""
-    return _each(files, "image_id long, name string, camera_id long, q array<double>, t array<double>", _model_images)
+    return _each(files, "image_id long, name string, camera_id long, q array<double>, t array<double>", _model_images, strict)

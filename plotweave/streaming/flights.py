@@ -41,6 +41,38 @@ def process_new(flights: DataFrame, keys: list[str], done_path: str, checkpoint:
     flights.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def replace_by_key(batch: DataFrame, keys: list[str], path: str, epoch: int) -> None:
+    """Rows of ``batch`` take the place of those with the same keys. Each call writes a table of its own, ``epoch=<n>``, and
+    the highest committed one holds; a batch that runs again writes the same table again, so the sink is exactly-once."""
+    spark = batch.sparkSession
+    before = current(spark, path, epoch)
+    if before is not None:
+        batch = before.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(batch)
+    batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+
+def current(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
+    """The table of the highest committed epoch (below ``below``), or None."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    done = [int(n[6:]) for n in names if n.startswith("epoch=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    done = [n for n in done if below is None or n < below]
+    return spark.read.parquet(f"{path}/epoch={max(done)}") if done else None
+
+
+def recheck(results: DataFrame, keys: list[str], status_path: str, checkpoint: str, reason: Callable[[], object]) -> None:
+    """After a run, each flight's files are checked again: its status is ok, or incomplete with the ``reason()`` column."""
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        told = batch.dropDuplicates(keys).withColumn("reason", reason())
+        replace_by_key(told.select(*keys, F.when(F.col("reason").isNull(), "ok").otherwise("incomplete").alias("status"), "reason"), keys, status_path, epoch)
+
+    results.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def carry_forward(records: DataFrame, least: int = 8000) -> DataFrame:
     """``field, flight, n, offset`` in, the last good offset by field out (a good one has ``least`` pixels).
 
