@@ -34,5 +34,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         discard(now)
         now, before, state = then, state, _state(then)
         if state == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            out = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            out.scratch_path = now.scratch_path
+            return out
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -1,4 +1,4 @@
-"""Near copies by word shingles: rows whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""The SimHash operator's search beyond a few bits: rows whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Equal sets are one node. Min-hash bands find candidates: ``bands`` keys of ``rows`` minima each, so a pair at similarity
 s meets in a bucket with probability 1 - (1 - s^rows)^bands, 0.9977 at 0.8 with the defaults and more above. No bucket is
@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import discard, materialise, text_key
+from ._shared import column, discard, materialise, text_key
 from .components import connected_components
-from .simhash import _LOWER, SEED, keep_first
+
+SEED = 42
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def shingle_hashes(text: bytes | None, shingle: int = 5) -> np.ndarray:
@@ -65,7 +67,7 @@ class MinHash:
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: int, rows: int) -> DataFrame:
     """``doc_id, tkey, node, size, keys`` per row; rows of one ``node`` (a 128-bit hash) have equal shingle sets."""
-    told = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("tkey"), F.col(text_col).cast("string").alias("text"))
+    told = docs.select(column(id_col).alias("doc_id"), text_key(text_col).alias("tkey"), column(text_col).cast("string").alias("text"))
 
     def make(batches):
         hasher = MinHash(bands, rows)
@@ -126,7 +128,7 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = materialise(dealt.join(ends, "bucket"), "shingle-buckets")
     near = lambda a, b: F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9  # noqa: E731  sizes further apart exclude it
     wanted = shared.select("node").distinct().join(nodes.select("node", "tkey"), "node")
-    own = docs.select(text_key(text_col).alias("tkey"), F.col(text_col).cast("string").alias("text"))
+    own = docs.select(text_key(text_col).alias("tkey"), column(text_col).cast("string").alias("text"))
     texts = own.join(wanted.select("tkey").distinct(), "tkey", "left_semi").groupBy("tkey").agg(F.any_value("text").alias("text"))
     texts = materialise(wanted.join(texts, "tkey").select("node", "text"), "shingle-texts")
 
@@ -155,8 +157,3 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = materialise(out.select("doc_id", "tkey", "root", "component_id"), "shingle-groups")
     discard(made, nodes, shared, texts, links, left, more, named)
     return out
-
-
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group: a row whose id is the group's smallest (null if all are)."""
-    return keep_first(docs, shingle_groups(docs, id_col, text_col, **options), id_col, text_col)

@@ -11,8 +11,13 @@ band's share of the distance. Searching bands rather than all 64 bits keeps the
 Within a shard, an exact vantage-point search on all 64 bits compares visitors with residents. It returns a spanning
 set of links, not all pairs, so a group of thousands of near copies stays linear; components join the shards.
 
-The trees are fitted on a documented, bounded sample (``sample`` fingerprints: those of the smallest hash); every
-fingerprint is indexed and queried. Which tree is fitted changes the balance of the shards, never the links.
+The upper nodes are fitted on a documented, bounded sample (``sample`` fingerprints: those of the smallest hash). Nodes
+below, and those whose sample can't be halved, take a vantage point drawn from their own number and half the band's bits
+as radius, so trees are as deep as ``shard_size`` asks for at any number of fingerprints, without a model that grows.
+Every fingerprint is indexed and queried. Which tree is fitted changes the balance of the shards, never the links.
+
+With ``similarity``, groups of that Jaccard similarity of five-word shingles join too (see ``near_shingles``): copies at
+0.8 differ in about ten bits, a radius at which vantage-point trees exclude next to nothing.
 """
 
 from __future__ import annotations
@@ -24,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import materialise, text_key
+from . import near_shingles
+from ._shared import column, discard, join_counted, materialise, own_names, text_key
 from .components import connected_components
+from .near_shingles import _LOWER, SEED
 
-SEED = 42
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ONES = np.uint64(0x0101010101010101)
 _LANE = 255
 
@@ -59,7 +64,7 @@ def simhash64(text: bytes | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``doc_id, tkey, fp`` (the 64 bits as a long) per row."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("tkey"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(column(id_col).alias("doc_id"), text_key(column(text_col)).alias("tkey"), column(text_col).cast("string").alias("text"))
 
     def make(batches):
         for batch in batches:
@@ -80,44 +85,60 @@ def distance(a: np.ndarray, b, mask: int = (1 << 64) - 1) -> np.ndarray:
 
 
 class VantageTree:
-    """Inner nodes in a list; a child below zero is the leaf ``-1 - child``."""
-
-    def __init__(self, sample: np.ndarray, mask: int, leaves: int):
-        self.mask, self.nodes, self.leaves = mask, [], 0
-        self.root = self._grow(sample, max(0, int(np.ceil(np.log2(max(1, leaves))))))
-
-    def _grow(self, points: np.ndarray, depth: int) -> int:
+    """A complete tree of ``depth`` levels; node k has the children 2 k (near) and 2 k + 1 (far), the root is 1."""
+
+    def __init__(self, sample: np.ndarray, mask: int, depth: int, least: int = 16):
+        self.mask, self.depth = mask, depth
+        self.points: list[np.ndarray] = []
+        self.radii: list[np.ndarray] = []
+        parts = {1: sample}
+        for level in range(depth):
+            at = np.arange(1 << level, 2 << level, dtype=np.uint64)
+            points, radii = self._drawn(at)
+            below = {}
+            for node, own in parts.items():
+                if len(own) >= least and (fit := self._fitted(own)):
+                    points[node - (1 << level)], radii[node - (1 << level)] = fit
+                    d = distance(own, fit[0], mask)
+                    below[2 * node], below[2 * node + 1] = own[d <= fit[1]], own[d > fit[1]]
+            if not below:
+                break
+            self.points.append(points)
+            self.radii.append(radii)
+            parts = below
+
+    def _drawn(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Vantage points by splitmix64 of the node's number."""
+        z = nodes * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return z ^ (z >> np.uint64(31)), np.full(len(nodes), self.mask.bit_count() // 2, np.int16)
+
+    def _fitted(self, own: np.ndarray) -> tuple[int, int] | None:
         best = None
-        if depth and len(points) >= 4:
-            for v in points[:: max(1, len(points) // 8)][:8].tolist():
-                d = distance(points, v, self.mask)
-                mid = int(np.median(d))
-                split = min((d <= mid).sum(), (d > mid).sum())
-                if split and (best is None or (d.std(), split) > best[0]):
-                    best = (d.std(), split), v, mid, d
-        if best is None:
-            self.leaves += 1
-            return -self.leaves
-        _, v, mid, d = best
-        at = len(self.nodes)
-        self.nodes.append(None)
-        self.nodes[at] = (v, mid, self._grow(points[d <= mid], depth - 1), self._grow(points[d > mid], depth - 1))
-        return at
-
-    def visits(self, fps: np.ndarray, radius: int):
-        """(leaf, indices of the fingerprints that visit it, which of them live there) for every leaf reached."""
-        stack = [(self.root, np.arange(len(fps)), np.ones(len(fps), bool))]
-        while stack:
-            node, at, home = stack.pop()
-            if not len(at):
-                continue
-            if node < 0:
-                yield -1 - node, at, home
-                continue
-            v, mid, left, right = self.nodes[node]
-            d = distance(fps[at], v, self.mask)
-            for child, near, own in ((left, d <= mid + radius, d <= mid), (right, d >= mid + 1 - radius, d > mid)):
-                stack.append((child, at[near], home[near] & own[near]))
+        for v in own[:: max(1, len(own) // 8)][:8].tolist():
+            d = distance(own, v, self.mask)
+            mid = int(np.median(d))
+            split = min((d <= mid).sum(), (d > mid).sum())
+            if split and (best is None or (d.std(), split) > best[0]):
+                best = (d.std(), split), (v, mid)
+        return best and best[1]
+
+    def visits(self, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(leaf, index of the fingerprint that visits it, whether it lives there) for every visit."""
+        node, at, home = np.ones(len(fps), np.uint64), np.arange(len(fps)), np.ones(len(fps), bool)
+        for level in range(self.depth):
+            if level < len(self.points):
+                place = (node - np.uint64(1 << level)).astype(np.int64)
+                v, mid = self.points[level][place], self.radii[level][place]
+            else:
+                v, mid = self._drawn(node)
+            d = np.bitwise_count((fps[at] ^ v) & np.uint64(self.mask)).astype(np.int16)
+            sides = []
+            for bit, near, own in ((0, d <= mid + radius, d <= mid), (1, d >= mid + 1 - radius, d > mid)):
+                sides.append((node[near] * np.uint64(2) + np.uint64(bit), at[near], home[near] & own[near]))
+            node, at, home = (np.concatenate(c) for c in zip(*sides, strict=True))
+        return (node - np.uint64(1 << self.depth)).astype(np.int64), at, home
 
 
 class _Union:
@@ -174,24 +195,27 @@ def shard_links(fps: np.ndarray, home: np.ndarray, radius: int, cell: int = 64)
     return np.fromiter((sets.find(k) for k in range(len(fps))), np.int64, len(fps))
 
 
-def near_links(values: DataFrame, count: int, max_distance: int, bands: int, shard_size: int, sample: int) -> DataFrame:
-    """``u, v``: links that connect all distinct fingerprints ``fp`` of ``values`` at ``max_distance`` or less."""
+def near_links(values: DataFrame, count: int, max_distance: int, bands: int, shard_size: int, sample: int, tasks: int = 16) -> DataFrame:
+    """``u, v``: links that connect all distinct fingerprints ``fp`` of ``values`` at ``max_distance`` or less.
+
+    Shards number ``tasks`` at most until ``shard_size`` fingerprints a shard ask for more."""
     spark = values.sparkSession
     drawn = [r["fp"] for r in values.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()]
     points = np.array(drawn, np.int64).view(np.uint64)
-    leaves = min(4096, max(1, -(-count // shard_size)))
-    trees = [VantageTree(points, mask, leaves) for mask in band_masks(bands)]
+    leaves = max(-(-count // shard_size), min(tasks // bands, count // 4096), 1)
+    depth = (leaves - 1).bit_length()
+    trees = [VantageTree(points, mask, depth) for mask in band_masks(bands)]
     radius = max_distance // bands
     shared = spark.sparkContext.broadcast(trees)
 
     def deal(batches):
         for batch in batches:
-            fps = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for band, tree in enumerate(shared.value):
-                for leaf, at, home in tree.visits(fps, radius):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), band * 4096 + leaf, np.int32)), pa.array(fps[at].view(np.int64)), pa.array(home)],
-                        names=["shard", "fp", "home"])
+            every = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+            for fps in (every[a:a + 4096] for a in range(0, len(every), 4096)):  # deep trees make many visits
+                for band, tree in enumerate(shared.value):
+                    leaf, at, home = tree.visits(fps, radius)
+                    yield pa.RecordBatch.from_arrays([pa.array(leaf * bands + band), pa.array(fps[at].view(np.int64)), pa.array(home)],
+                                                     names=["shard", "fp", "home"])
 
     def link(table: pa.Table) -> pa.Table:
         fps = table.column("fp").to_numpy().view(np.uint64)
@@ -201,12 +225,12 @@ def near_links(values: DataFrame, count: int, max_distance: int, bands: int, sha
         tied = np.flatnonzero(root != np.arange(len(fps)))
         return pa.table({"u": pa.array(fps[tied].view(np.int64)), "v": pa.array(fps[root[tied]].view(np.int64))})
 
-    dealt = values.select("fp").mapInArrow(deal, "shard int, fp long, home boolean")
+    dealt = values.select("fp").mapInArrow(deal, "shard long, fp long, home boolean")
     return dealt.groupBy("shard").applyInArrow(link, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2,
-                    bands: int = 2, shard_size: int = 16_384, sample: int = 8_192) -> DataFrame:
+                    bands: int = 2, shard_size: int = 1 << 18, sample: int = 8_192) -> DataFrame:
     """One row per input row: ``doc_id, fingerprint, component_id``.
 
     Null and blank texts have fingerprint 0 and are linked like any other; ``component_id`` is the smallest id reachable
@@ -218,40 +242,50 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2,
-                bands: int = 2, shard_size: int = 16_384, sample: int = 8_192) -> DataFrame:
+                bands: int = 2, shard_size: int = 1 << 18, sample: int = 8_192) -> DataFrame:
     """``doc_id, tkey, fp, root, component_id`` per row; ``root`` is the smallest fingerprint of the component."""
     if not 1 <= bands <= 64:
         raise ValueError("bands: 1 to 64")
     made = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
-    values = materialise(made.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-values")
-    links = near_links(values, values.count(), max_distance, bands, shard_size, sample)
+    values = materialise(made.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "simhash-values")
+    count, total = values.agg(F.count(F.lit(1)), F.sum("n")).first()
+    links = near_links(values, count, max_distance, bands, shard_size, sample)
     roots = connected_components(links)
     tied = (values.join(roots, values["fp"] == roots["node"], "left")
-            .select("fp", "first", F.coalesce("root", "fp").alias("root")))
+            .select("fp", "first", "n", F.coalesce("root", "fp").alias("root")))
     named = materialise(tied, "simhash-roots")
     firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    members = named.join(firsts, "root").select("fp", "root", "component_id")
-    return made.join(members, "fp").select("doc_id", "tkey", "fp", "root", "component_id")
+    members = materialise(named.join(firsts, "root").select("fp", "n", "root", "component_id"), "simhash-members")
+    discard(values, named, roots)
+    return join_counted(made, members, "fp", total or 0).select("doc_id", "tkey", "fp", "root", "component_id")
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None,
+                         **options) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: a row whose id is the group's smallest (null if all are).
 
-    Where several rows of the group repeat this id, one of them stays; groups never share a row, even if they share ids.
+    ``similarity``: of the rows left, one stays of each group at that Jaccard similarity of five-word shingles, too.
+    Where several rows of a group repeat its smallest id, one of them stays; groups never share a row, even if they share
+    ids. Columns stay as they are, whatever their names. Null and blank texts are one group; empty input gives an empty result.
     """
-    return keep_first(docs, near_groups(docs, id_col, text_col, **options), id_col, text_col)
+    kept = keep_first(docs, near_groups(docs, id_col, text_col, **options), id_col, text_col)
+    if similarity is None:
+        return kept
+    kept = materialise(kept, "simhash-kept")
+    return keep_first(kept, near_shingles.shingle_groups(kept, id_col, text_col, similarity=similarity), id_col, text_col)
 
 
 def keep_first(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with one row of each of ``groups`` (``doc_id, tkey, root, component_id``)."""
+    keep, tkey, key, own_id, row = own_names(docs, "__keep", "__tkey", "__key", "__id", "__row")
     own = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(
-        F.min("tkey").alias("__tkey"), F.count(F.lit(1)).alias("n"))
-    own = materialise(own.select(F.col("doc_id").alias("__keep"), "__tkey", "n"), "simhash-own")
-    rows = docs.withColumn("__key", text_key(text_col))
-    same = F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__key") == F.col("__tkey"))
-    rows = rows.join(own.select("__keep", "__tkey"), same, "left_semi")
+        F.min("tkey").alias(tkey), F.count(F.lit(1)).alias("n"))
+    own = materialise(own.select(F.col("doc_id").alias(keep), tkey, "n"), "simhash-own")
+    rows = docs.withColumn(key, text_key(column(text_col)))
+    same = column(id_col).eqNullSafe(F.col(keep)) & (F.col(key) == F.col(tkey))
+    rows = rows.join(own.select(keep, tkey), same, "left_semi")
     if own.filter("n > 1").isEmpty():
-        return rows.drop("__key")
-    whole = F.struct(*[F.col(c) for c in docs.columns])
-    one = rows.groupBy(F.col(id_col).alias("__id"), "__key").agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("__row"))
-    return one.select("__row.*")
+        return rows.drop(key)
+    every = [column(c) for c in docs.columns]
+    one = rows.groupBy(column(id_col).alias(own_id), key).agg(F.min_by(F.struct(*every), F.xxhash64(*every)).alias(row))
+    return one.select(f"{row}.*")

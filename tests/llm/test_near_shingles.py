@@ -52,6 +52,8 @@ def test_stage_keeps_one_of_each_group(spark):
 
 
 def test_odd_rows(spark):
-    assert N.keep_representatives(empty(spark)).count() == 0
-    ids = sorted((r.doc_id for r in N.keep_representatives(odd(spark)).collect()), key=str)
+    assert H.keep_representatives(empty(spark), similarity=0.8).count() == 0
+    out = H.keep_representatives(odd(spark), similarity=0.8)
+    assert out.columns == odd(spark).columns
+    ids = sorted((r.doc_id for r in out.collect()), key=str)
     assert ids == sorted([1, 4, 6, 6, 7, 8], key=str)  # 1-3 are blank, 4 and 5 alike, both texts of 6 stay

@@ -62,23 +62,31 @@ def test_trees_lose_no_link(bands):
     near = [(a, b) for a in range(len(fps)) for b in np.flatnonzero(np.bitwise_count(fps ^ fps[a]) <= 2) if a < b]
     met = set()
     for mask in H.band_masks(bands):
-        tree = H.VantageTree(fps[::3], mask, 16)
-        lives = np.full(len(fps), -1)
-        for leaf, at, home in tree.visits(fps, 2 // bands):
-            assert (lives[at[home]] == -1).all()
-            lives[at[home]] = leaf
-            visiting, res = set(at.tolist()), set(at[home].tolist())
+        tree = H.VantageTree(fps[::3], mask, 9)  # deeper than its sample can fit
+        assert len(tree.points) < 9
+        leaves, at, home = tree.visits(fps, 2 // bands)
+        assert home.sum() == len(fps) == len(set(at[home].tolist()))
+        for leaf in set(leaves.tolist()):
+            visiting, res = set(at[leaves == leaf].tolist()), set(at[(leaves == leaf) & home].tolist())
             met |= {(a, b) for a, b in near if (a in res and b in visiting) or (b in res and a in visiting)}
-        assert (lives >= 0).all()
     assert met == set(near)
 
 
+def test_deeper_trees_visit_only_what_boundaries_ask_for():
+    rng = np.random.default_rng(1)
+    fps = rng.integers(0, 2**63, 20_000).astype(np.uint64)
+    mask = H.band_masks(2)[0]
+    for depth in (0, 4, 12):
+        leaf, at, home = H.VantageTree(fps[:500], mask, depth).visits(fps, 1)
+        assert len(at) <= len(fps) * 1.35 ** depth and leaf.max() < 1 << depth
+
+
 def test_near_duplicates_end_to_end(spark):
     rng = random.Random(2)
     base = [" ".join(f"w{rng.randrange(400)}" for _ in range(300)) for _ in range(12)]
     rows = [(k, (base[k % 12] + f" tail{k % 5}") if k % 3 else base[k % 12], "en", "s") for k in range(150)]
     rows += [(i and i + 1000, t, a, b) for i, t, a, b in odd_rows()]
-    got = H.near_duplicates(spark.createDataFrame(rows, SCHEMA), shard_size=8).collect()
+    got = H.near_duplicates(spark.createDataFrame(rows, SCHEMA), shard_size=2).collect()
     fps = [simhash_brute(t) for _, t, *_ in rows]
     roots = brute_roots(np.array(fps, np.uint64), 2)
     first = {}
@@ -210,3 +218,47 @@ def test_default_vocabulary_cuts_every_word():
 
     for w in ("2024-05-06", "Привет", "Ωμέγα", "我们今天去公园", "naïve", "éclair", "(a", "x\U0001F9FFy7", "\u0e01"):
         assert auto.count(w) == brute(w) > 0, w
+
+
+def test_token_counts_of_whole_texts_against_brute_force(spark):
+    begin, follow = map(set, T.load_vocabulary())
+    longest = max(map(len, begin | follow))
+
+    def brute(word):
+        n = at = 0
+        while at < len(word):
+            have = follow if n else begin
+            end = next((q for q in range(min(len(word), at + longest), at, -1) if word[at:q] in have), None)
+            if n == 0 and end is None:
+                n = 1
+            else:
+                n, at = (n + 1, end) if end else (n + len(word[at].encode()), at + 1)
+        return n
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    cut = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t)
+    known = {w: brute(w) for t in texts.values() for w in set(cut(t))}
+    want = {i: (len(cut(t)), sum(known[w] for w in cut(t)), 0) for i, t in texts.items()}
+    assert {r.doc_id: (r.n_words, r.n_tokens, r.n_unknown) for r in T.count_tokens(docs).collect()} == want
+
+
+def test_report_and_removal_against_brute_force(spark):
+    import hashlib
+
+    rng = random.Random(14)
+    some = lambda n: " ".join(f"T{rng.randrange(5)}" for _ in range(n))
+    items = [(f"i{k}", some(rng.randrange(10))) for k in range(14)] + [("n", None)]
+    rows = [(k, some(rng.randrange(50)), "en", "s") for k in range(60)] + [(100, None, "en", "s")]
+    docs, bench = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id string, text string")
+    got = {r.doc_id: r for r in D.contamination_report(docs, bench, window=6).collect()}
+    left = {r.doc_id: r.text for r in D.decontaminate(docs, bench, window=6, max_coverage=0.7).collect()}
+    for i, t, *_ in rows:
+        hit, found = hits_brute(t, items, 6)
+        n = len((t or "").split())
+        assert (got[i].n_words, got[i].n_hit, got[i].n_items, got[i].contaminated) == (n, len(hit), len(found), bool(hit))
+        assert got[i].items_sha256 == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        if len(hit) > 0.7 * n:
+            assert i not in left
+        elif t is not None:
+            assert left[i].split() == [w for k, w in enumerate(t.split()) if k not in hit]
