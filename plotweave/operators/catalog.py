@@ -148,3 +148,15 @@ def model_priors(names: DataFrame, priors: DataFrame, name: str = "name", warn:
 def head(df: DataFrame, order: list[str], n: int = 8) -> DataFrame:
     """The first rows for a message; a top-n a task, never a full sort."""
     return df.orderBy(*order).limit(n)
+
+
+def mutual_nearest(first: DataFrame, second: DataFrame, block: str, key: str = "vec_id", vector: str = "e", salts: int = 16, digits: int = 6) -> DataFrame:
+    """``a, b, cos``: pairs of a ``block`` (a photo pair, a label) that are each other's nearest by cosine, ties to the smaller
+    key. A hot block is met by ``salts`` tasks, each with a part of the first side; nearest ones are aggregated map-side."""
+    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda s, t: s * t), F.lit(0.0), lambda s, t: s + t)
+    a = first.select(F.col(key).alias("a"), block, F.col(vector).alias("ea"), F.sqrt(dot(vector, vector)).alias("na"), F.pmod(F.xxhash64(key), F.lit(salts)).alias("salt"))
+    b = second.select(F.col(key).alias("b"), block, F.col(vector).alias("eb"), F.sqrt(dot(vector, vector)).alias("nb"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
+    s = a.join(b, [block, "salt"]).select("a", "b", F.round(dot("ea", "eb") / (F.col("na") * F.col("nb")), digits).alias("cos"))
+    best_a = s.groupBy("a").agg(F.max_by("b", F.struct("cos", -F.col("b"))).alias("b"), F.max("cos").alias("cos"))
+    best_b = s.groupBy("b").agg(F.max_by("a", F.struct("cos", -F.col("a"))).alias("a"))
+    return best_a.join(best_b, ["a", "b"]).select("a", "b", "cos")

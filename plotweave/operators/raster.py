@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,8 +98,8 @@ def near(mask: DataFrame, cells: DataFrame, reach: float, by: tuple[str, ...] =
 def nearest_fill(raster: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Holes take the value of the Euclidean nearest cell; ties go to the smaller row, then column.
 
-    Pass one finds each cell's nearest filled cell within its row by windows; pass two takes, for each cell, the best of
-    these over the rows of its column. Memory and work are bounded by a raster's height a column (a tile's, if tiled)."""
+    Pass one finds each cell's nearest filled cell within its row by windows; pass two walks each column once over the
+    lower envelope of these distances, so a raster takes work linear in its cells and a task holds one column."""
     df = dense(raster, value, by)
     row = Window.partitionBy(*by, "row").orderBy("col")
     back = F.last(F.when(F.col(value).isNotNull(), F.struct("col", value)), ignorenulls=True).over(row.rowsBetween(Window.unboundedPreceding, 0))
@@ -105,14 +107,35 @@ def nearest_fill(raster: DataFrame, value: str, by: tuple[str, ...] = ()) -> Dat
     df = df.withColumn("b", back).withColumn("a", ahead)
     db, da = F.col("col") - F.col("b.col"), F.col("a.col") - F.col("col")
     pick_b = F.col("a").isNull() | (F.col("b").isNotNull() & (db <= da))
-    df = df.withColumn("near", F.when(pick_b, F.col("b")).otherwise(F.col("a"))).withColumn("dx", F.when(pick_b, db).otherwise(da))
-    column = F.collect_list(F.when(F.col("near").isNotNull(), F.struct(F.col("row").alias("r"), F.col("dx").alias("dx"),
-                            F.col("near.col").alias("c"), F.col(f"near.{value}").alias("v"))))
-    col_w = Window.partitionBy(*by, "col")
-    df = df.withColumn("cands", column.over(col_w))
-    best = F.array_min(F.transform("cands", lambda s: F.struct(
-        ((s["r"] - F.col("row")) * (s["r"] - F.col("row")) + s["dx"] * s["dx"]).alias("d"), s["r"].alias("r"), s["c"].alias("c"), s["v"].alias("v"))))
-    return df.select(*by, "row", "col", F.coalesce(F.col(value), best["v"]).alias(value))  # a cell that has a value is its own nearest
+    df = df.select(*by, "row", "col", F.when(pick_b, db).otherwise(da).alias("dx"), F.when(pick_b, F.col(f"b.{value}")).otherwise(F.col(f"a.{value}")).alias(value))
+    schema = df.drop("dx").schema
+
+    def column(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row").reset_index(drop=True)
+        pdf[value] = pdf[value].to_numpy()[envelope(pdf["row"].to_numpy(), pdf["dx"].to_numpy("f8"))] if pdf["dx"].notna().any() else None
+        return pdf.drop(columns="dx")
+
+    return df.groupBy(*by, "col").applyInPandas(column, schema)
+
+
+def envelope(rows: np.ndarray, dx: np.ndarray) -> np.ndarray:
+    """For each of rising ``rows`` the index of the one with the least (r - row)^2 + dx^2, the first of equals; NaN never wins."""
+    hull: list[tuple[int, int]] = []  # (index, first row at which it is the nearest)
+    for k in np.flatnonzero(~np.isnan(dx)).tolist():
+        r, h = int(rows[k]), int(dx[k]) ** 2 + int(rows[k]) ** 2
+        while hull:
+            j, start = hull[-1]
+            rj = int(rows[j])
+            # beyond this row k is strictly nearer than j
+            since = (h - int(dx[j]) ** 2 - rj * rj) // (2 * (r - rj)) + 1
+            if since > start:
+                break
+            hull.pop()
+        else:
+            since = int(rows[0])
+        hull.append((k, since))
+    starts = np.array([s for _, s in hull])
+    return np.array([k for k, _ in hull])[np.searchsorted(starts, rows, side="right") - 1]
 
 
 def otsu(values: DataFrame, value: str, by: tuple[str, ...] = (), bins: int = 256) -> DataFrame:

@@ -253,11 +253,4 @@ x AS (SELECT a, b, cos, row_number() OVER (PARTITION BY a ORDER BY cos DESC, b)
 def descriptor_matches(spark, d):
     """Mutual nearest neighbours by cosine within a label: the baseline for an external matcher."""
     x = read(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda e: e.cast("double")).alias("e"))
-    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda s, t: s * t), F.lit(0.0), lambda s, t: s + t)
-    x = x.withColumn("n", F.sqrt(dot("e", "e")))
-    a = x.filter("vec_id % 2 = 0").select(F.col("vec_id").alias("a"), "label", F.col("e").alias("ea"), F.col("n").alias("na"))
-    b = x.filter("vec_id % 2 = 1").select(F.col("vec_id").alias("b"), "label", F.col("e").alias("eb"), F.col("n").alias("nb"))
-    s = a.join(b, "label").select("a", "b", F.round(dot("ea", "eb") / (F.col("na") * F.col("nb")), 6).alias("cos"))
-    best_a = s.groupBy("a").agg(F.max_by("b", F.struct("cos", -F.col("b"))).alias("b"), F.max("cos").alias("cos"))
-    best_b = s.groupBy("b").agg(F.max_by("a", F.struct("cos", -F.col("a"))).alias("a"))
-    return best_a.join(best_b, ["a", "b"]).select("a", "b", "cos")
+    return catalog.mutual_nearest(x.filter("vec_id % 2 = 0"), x.filter("vec_id % 2 = 1"), "label").select("a", "b", F.round("cos", 6).alias("cos"))

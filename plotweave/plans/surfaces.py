@@ -140,7 +140,9 @@ _GROUND_OFF = '"offset"'
 def _datum(spark, d) -> DataFrame:
     c = cells(spark, d)
     g = c.filter("dsm < 4306e-1").groupBy("row", "col").agg(N.r6(F.min_by("dsm", "flight")).alias("g"))
-    diff = c.join(g, ["row", "col"]).select("flight", (F.col("dsm") - F.col("g")).alias("diff"))
+    _checkpoints(spark)
+    # written once: the medians read it several times
+    diff = c.join(g, ["row", "col"]).select("flight", (F.col("dsm") - F.col("g")).alias("diff")).checkpoint()
     return fits.median_mad(diff, "diff", ("flight",))
 
 

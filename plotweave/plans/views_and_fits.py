@@ -159,9 +159,12 @@ def georef_residuals(spark, d):
     return p.select((F.col("image_id") % 5).alias("grp"), dist.alias("d")).groupBy("grp").agg(F.count(F.lit(1)).alias("n"), N.r6(F.median("d")).alias("median"), N.r6(F.max("d")).alias("most"))
 
 
-@query()
+_KNOWN = [("scale", 2.0)] + [(f"r{i}{j}", _R[i][j]) for i in range(3) for j in range(3)] + [(f"t{i}", _T[i]) for i in range(3)]
+
+
+@query(f"SELECT part, value FROM (VALUES {', '.join(f'({k!r}, CAST({v} AS DOUBLE))' for k, v in _KNOWN)}) t(part, value)")
 def umeyama(spark, d):
-    """Scale, rotation and shift recovered from a known similarity (checked against it in the tests)."""
+    """Scale, rotation and shift recovered from a known similarity."""
     p = view(spark, d, "poses").select((F.col("e") - 541000).alias("x"), (F.col("n") - 5215000).alias("y"), "z")
     x, y, z = N.similarity(2.0, _R, _T)
     fit = fits.umeyama(p.select(F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("z").alias("sz"), x.alias("dx"), y.alias("dy"), z.alias("dz")))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plotweave.functions import photo
-from plotweave.operators import catalog, clouds, raster
+from plotweave.operators import catalog, clouds, fits, raster
 from plotweave.session import Options
 from plotweave.sources import files as S
 from plotweave.sources import sinks
@@ -154,6 +154,46 @@ def test_quantiles_are_exact(spark):
     assert clouds.quantiles(df.limit(0), ["a"], [0.5]) == {"a": [None]}
 
 
+def test_medians_of_groups_are_exact(spark):
+    rng = np.random.default_rng(6)
+    groups = {"a": rng.normal(size=1001), "b": np.append(rng.normal(size=500), 1e7), "c": np.full(7, 2.0), "d": np.array([1.0, 4.0]), "e": np.round(rng.normal(size=900), 1)}
+    df = spark.createDataFrame([(g, float(v)) for g, vv in groups.items() for v in vv] + [("a", None), ("f", None)], "g string, v double")
+    got = {r.g: r for r in fits.median_mad(df, "v", ("g",)).collect()}
+    assert set(got) == set(groups)
+    for g, vv in groups.items():
+        assert got[g].n == len(vv) and np.isclose(got[g].offset, np.median(vv)) and np.isclose(got[g].mad, np.median(abs(vv - np.median(vv))))
+    one = fits.median_mad(df, "v").first()
+    every = np.concatenate(list(groups.values()))
+    assert np.isclose(one.offset, np.median(every)) and np.isclose(one.mad, np.median(abs(every - np.median(every))))
+
+
+def test_envelope_against_brute_force():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 40):
+        for _ in range(60):
+            rows = np.arange(100, 100 + n)
+            dx = np.where(rng.random(n) < 0.4, np.nan, rng.integers(0, 12, n).astype(float))
+            if np.isnan(dx).all():
+                continue
+            cost = (rows[:, None] - rows[None, :]) ** 2 + np.where(np.isnan(dx), np.inf, dx)[None, :] ** 2
+            assert raster.envelope(rows, dx).tolist() == cost.argmin(axis=1).tolist()
+
+
+def test_a_clipped_point_stays_out(spark):
+    rng = np.random.default_rng(8)
+    x, y = rng.uniform(0, 40, 300), rng.uniform(0, 30, 300)
+    z = 430 + 0.01 * x + rng.normal(0, 0.01, 300)
+    z[:6] += np.array([9, 3, 1, 0.3, 0.1, 0.06])
+    u, v = (x - x.mean()) / (np.ptp(x) / 2), (y - y.mean()) / (np.ptp(x) / 2)
+    a, keep = np.stack([u ** i * v ** j for i in range(3) for j in range(3 - i)], 1), np.ones(300, bool)
+    for _ in range(3):
+        coef = np.linalg.lstsq(a[keep], z[keep], rcond=None)[0]
+        resid = z - a @ coef
+        keep = keep & (abs(resid) < 3 * resid[keep].std())
+    t = fits.trend_surface(spark.createDataFrame(np.stack((x, y, z), 1).tolist(), ["x", "y", "z"]))
+    assert t["kept"] == keep.sum() < 300 and np.allclose(t["coef"], coef, atol=1e-6)
+
+
 def test_first_source_and_priors(spark):
     some = spark.range(3)
     opened = []
