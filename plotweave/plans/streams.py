@@ -35,10 +35,8 @@ def stream_datum(spark, d):
     g = read(spark, d, "events").selectExpr(*COLUMNS["frames"][1]).groupBy(F.col("crop").alias("field"), "flight").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("alt"), 6).alias("offset"))
     g.coalesce(1).write.parquet(f"{p}/in")
-    out = S.carry_forward(S.stream_of(spark, f"{p}/in"), 60)
-    q = out.writeStream.format("parquet").option("path", f"{p}/out").option("checkpointLocation", f"{p}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(f"{p}/out")
+    S.to_table(S.carry_forward(S.stream_of(spark, f"{p}/in"), 60), ["field", "flight"], f"{p}/out", f"{p}/checkpoint")
+    return S.current(spark, f"{p}/out")
 
 
 @query(f"""SELECT crop, flight, CASE WHEN reason IS NULL THEN 'ok' ELSE 'incomplete' END AS status, reason FROM (SELECT crop, flight, CASE WHEN first % 5 = 0 THEN 'no ortho inputs' WHEN first % 7 * 400 < 1024 THEN 'ortho inputs truncated'

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
 def stream_of(spark: SparkSession, path: str, files_per_batch: int | None = None, glob: str | None = None) -> DataFrame:
@@ -73,27 +73,55 @@ def recheck(results: DataFrame, keys: list[str], status_path: str, checkpoint: s
     results.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+class _Carry(StatefulProcessor):
+    """The good offsets of a field by flight. A flight that comes late is told by the flights before it, and those after it
+    that this changes are told again."""
+
+    def __init__(self, least: int):
+        self.least = least
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.offsets = handle.getMapState("offsets", "flight string", "offset double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  names of the interface
+        known = {f[0]: v[0] for f, v in self.offsets.iterator()} if self.offsets.exists() else {}
+        before = dict(self._told(known))
+        fresh = {}
+        for pdf in rows:
+            for flight, n, off in zip(pdf["flight"], pdf["n"], pdf["offset"], strict=True):
+                fresh[flight] = float(off) if n >= self.least and off == off else None
+        for flight, off in fresh.items():
+            self.offsets.updateValue((flight,), (off,))
+        now = self._told(known | fresh)
+        told = [(key[0], f, off) for f, off in now if f in fresh or before[f] != off]
+        yield pd.DataFrame({"field": [t[0] for t in told], "flight": [t[1] for t in told], "off": pd.array([t[2] for t in told], dtype="Float64")})
+
+    @staticmethod
+    def _told(offsets: dict) -> list[tuple]:
+        last, out = None, []
+        for flight in sorted(offsets):
+            last = offsets[flight] if offsets[flight] is not None else last
+            out.append((flight, last))
+        return out
+
+    def close(self) -> None:
+        pass
+
+
 def carry_forward(records: DataFrame, least: int = 8000) -> DataFrame:
     """``field, flight, n, offset`` in, the last good offset by field out (a good one has ``least`` pixels).
 
-    State is one number a field. A flight that arrives after later ones is told with the state of its arrival; the batch
-    window over flight names is the authority, and a replay brings both together."""
-
-    def step(key, frames, state: GroupState):
-        last = state.get[0] if state.exists else None
-        for pdf in frames:
-            pdf = pdf.sort_values("flight")
-            told = []
-            for n, off in zip(pdf["n"], pdf["offset"], strict=True):
-                if n >= least and off == off:
-                    last = float(off)
-                told.append(last)
-            yield pd.DataFrame({"field": pdf["field"], "flight": pdf["flight"], "off": pd.array(told, dtype="Float64")})
-        if last is not None:
-            state.update((last,))
-
-    return records.groupBy("field").applyInPandasWithState(step, "field string, flight string, off double", "last double", "append",
-                                                           GroupStateTimeout.NoTimeout)
+    State is one number a flight of a field; in whatever order flights come, the last row told of each is what the ordered
+    table gives, so the sink replaces by (field, flight)."""
+    records.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return records.groupBy("field").transformWithStateInPandas(
+        statefulProcessor=_Carry(least), outputStructType="field string, flight string, off double", outputMode="Append", timeMode="None")
+
+
+def to_table(stream: DataFrame, keys: list[str], path: str, checkpoint: str) -> None:
+    """Drain a stream into a table by key."""
+    step = lambda batch, epoch: replace_by_key(batch, keys, path, epoch)
+    stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def windowed_counts(events: DataFrame, time: str, keys: list[str], width: str, slide: str | None = None, late: str = "10 minutes") -> DataFrame:

@@ -249,3 +249,15 @@ def test_a_status_is_replaced_by_key(spark, tmp_path):
     for _ in range(2):  # a batch that runs again
         T.replace_by_key(spark.createDataFrame([("a", "ok"), ("c", "ok")], "k string, s string"), ["k"], p, 1)
     assert sorted(map(tuple, T.current(spark, p).collect())) == [("a", "ok"), ("b", "ok"), ("c", "ok")]
+
+
+def test_flights_out_of_order_end_as_the_ordered_table(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    batches = [[("f", "2024-03", 100, 3.0), ("f", "2024-05", 1, 5.0), ("g", "2024-01", 100, 9.0)], [("f", "2024-04", 100, 4.0)], [("f", "2024-01", 1, 1.0), ("f", "2024-02", 100, 2.0)]]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "field string, flight string, n long, offset double").coalesce(1).write.parquet(f"{src}/{k}")
+        T.to_table(T.carry_forward(spark.readStream.schema("field string, flight string, n long, offset double").parquet(f"{src}/*"), 60), ["field", "flight"], out, str(tmp_path / "cp"))
+        if k == 0:
+            assert {(r.flight, r.off) for r in T.current(spark, out).filter("field = 'f'").collect()} == {("2024-03", 3.0), ("2024-05", 3.0)}
+    got = {(r.field, r.flight): r.off for r in T.current(spark, out).collect()}
+    assert got == {("f", "2024-01"): None, ("f", "2024-02"): 2.0, ("f", "2024-03"): 3.0, ("f", "2024-04"): 4.0, ("f", "2024-05"): 4.0, ("g", "2024-01"): 9.0}
