@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,15 +61,34 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+_MADE: ContextVar[list | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def passing_scratch():
+    """Scratch tables that this thread makes within go at the end, but for those taken out of the list that is given."""
+    made: list[DataFrame] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        discard(*made)
+
+
 def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to a table of its own in the shared folder and read it back: this cuts the lineage, and the
-    files outlive executors."""
+    files outlive executors. They go with ``discard``, else when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     with shuffle_cleanup(spark):
         df.write.partitionBy(*partition_by).parquet(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
+    if (made := _MADE.get()) is not None:
+        made.append(out)
     return out
 
 
@@ -115,15 +135,15 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def join_counted(big: DataFrame, small: DataFrame, key: str, rows: int, n: str = "n") -> DataFrame:
-    """Inner equi-join of ``big`` with ``small`` (one row a ``key``, which ``n`` of the ``rows`` of ``big`` have).
+def join_counted(big: DataFrame, small: DataFrame, key: str, rows: int, n: str = "n", how: str = "inner") -> DataFrame:
+    """Equi-join, inner or left, of ``big`` with ``small`` (one row a ``key``, which ``n`` of the ``rows`` of ``big`` have).
 
     Keys with more than a thousandth of the rows, so fewer than a thousand, are broadcast; the rest is shuffled."""
     share = rows // 1000 + 1
     hot = small.filter(F.col(n) > share)
     cold = small.filter(F.col(n) <= share)
     return (big.join(F.broadcast(hot), key)
-            .unionByName(big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)))
+            .unionByName(big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)))
 
 
 def whole_text(text: str | Column) -> Column:

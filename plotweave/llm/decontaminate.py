@@ -297,4 +297,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     return map_whole_rows(joined, cut, len(docs.columns))
 
 
-__all__ = ["ItemAutomaton", "contamination_report", "cut_spans", "decontaminate", "find_hits", "folded_words"]
+_SQL_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL = f"""
+WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_SQL_WORDS} AS w FROM benchmark),
+     t AS (SELECT item, least(len(w), 10) AS n, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0),
+     g AS (SELECT DISTINCT item, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS words FROM t),
+     d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+     x AS (SELECT doc_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS words
+           FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n)),
+     h AS (SELECT x.doc_id, x.s, x.n, g.item FROM x JOIN g ON g.n = x.n AND g.words = x.words),
+     c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM h) GROUP BY doc_id),
+     f AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items, sha256(coalesce(f.items, '')) AS items_sha256,
+       coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN f ON f.doc_id = d.doc_id
+"""
+
+__all__ = ["SQL", "ItemAutomaton", "contamination_report", "cut_spans", "decontaminate", "find_hits", "folded_words"]

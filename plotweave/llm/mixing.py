@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import broadcast_if_small, materialise, word_count
+from ._shared import broadcast_if_small, column, materialise, word_count
 
 HASH_BITS, LEVEL_BITS = 60, 12
 
@@ -80,9 +80,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     half of one document (all rows of one id fall on the same side). Ids are hashed as text; a null id as ''.
     A source of size 0 takes 0. Empty input gives an empty result; other columns of ``docs`` are ignored.
     """
-    skey = F.when(F.col(source_col).isNull(), F.lit("2")).otherwise(F.concat(F.lit("1"), F.col(source_col).cast("string")))
-    sizes = materialise(docs.select(F.col(id_col).alias("doc_id"), skey.alias("skey"),
-                                    word_count(F.col(text_col)).alias("size"), doc_hash(F.col(id_col)).alias("h")),
+    skey = F.when(column(source_col).isNull(), F.lit("2")).otherwise(F.concat(F.lit("1"), column(source_col).cast("string")))
+    sizes = materialise(docs.select(column(id_col).alias("doc_id"), skey.alias("skey"),
+                                    word_count(column(text_col)).alias("size"), doc_hash(column(id_col)).alias("h")),
                         "mix-sizes")
     targets = materialise(source_targets(sizes, weights, share, cap), "mix-targets")
     sources = targets.count()

@@ -5,7 +5,10 @@ s meets in a bucket with probability 1 - (1 - s^rows)^bands, 0.9977 at 0.8 with
 dropped or shortened. Every candidate link is verified by the exact Jaccard similarity of the two texts' shingles.
 
 First each bucket's members are compared with its smallest and its largest node, which joins a group of any size in
-linear work; then, in the buckets that still hold several components, all pairs from different components are compared.
+linear work. Buckets that still hold several components are searched whole, in blocks: a bucket of at most ``block``
+nodes is one block, whose overlaps are counted at once; a larger one is dealt into parts and each two parts are a block, so
+a node is sent once for every ``block`` nodes of its bucket and pairs are never rows. Blocks return links that connect what
+is linked, not all pairs.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import column, discard, materialise, text_key
+from ._shared import column, discard, join_counted, materialise, text_key
 from .components import connected_components
 
 SEED = 42
@@ -86,68 +89,119 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands:
     return told.mapInArrow(make, schema.add("keys", T.ArrayType(T.LongType())))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """``u, v``: the pairs of nodes whose texts' shingle sets are similar enough."""
-    a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text")) for c in "uv")
-    full = pairs.join(a, "u").join(b, "v").select("u", "v", "u_text", "v_text")
+def _sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """``node, hashes`` (sorted 64-bit hashes, packed) from ``node, text``."""
+
+    def make(batches):
+        for batch in batches:
+            packed = [shingle_hashes(t.as_py(), shingle).tobytes() for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], names=["node", "hashes"])
+
+    return texts.select("node", "text").mapInArrow(make, "node binary, hashes binary")
+
+
+def _unpacked(column) -> list[np.ndarray]:
+    return [np.frombuffer(h.as_py(), np.uint64) for h in column]
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``u, v``: the pairs of nodes whose shingle sets are similar enough."""
+    a, b = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}_hashes")) for c in "uv")
+    full = pairs.join(a, "u").join(b, "v").select("u", "v", "u_hashes", "v_hashes")
 
     def check(batches):
-        known: dict[bytes, np.ndarray] = {}
-        held = 0
         for batch in batches:
-            us, vs, keep = batch.column("u").to_pylist(), batch.column("v").to_pylist(), []
-            for k, pair in enumerate(zip(us, vs, strict=True)):
-                sets = []
-                for node, column in zip(pair, ("u_text", "v_text"), strict=True):
-                    got = known.get(node)
-                    if got is None:
-                        got = shingle_hashes((batch.column(column)[k].as_py() or "").encode(), shingle)
-                        if held > 4_000_000:  # a bound on what is kept
-                            known.clear()
-                            held = 0
-                        known[node] = got
-                        held += len(got)
-                    sets.append(got)
-                if jaccard(*sets) >= similarity:
-                    keep.append(k)
+            both = zip(_unpacked(batch.column("u_hashes")), _unpacked(batch.column("v_hashes")), strict=True)
+            keep = [k for k, pair in enumerate(both) if jaccard(*pair) >= similarity]
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).take(pa.array(keep, pa.int64()))
 
     return full.mapInArrow(check, "u binary, v binary")
 
 
+def overlaps(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray, width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of the sets numbered ``first`` (rows) and ``second`` (columns)."""
+    shingle, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    column = np.cumsum(times > 1) - 1  # shingles of one set only can't overlap
+    inside = times[where] > 1
+    owner, column = owner[inside], column[where[inside]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(first), len(second)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (low, low + width))
+        held = np.zeros((len(sets), width), np.float32)
+        held[owner[a:b], column[a:b] - low] = 1
+        out += held[first] @ held[second].T
+    return out
+
+
+def block_links(similarity: float):
+    """A function over a block (``i, j, part, node, root, hashes``): verified links that connect what differs in ``root``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        part, sets = table.column("part").to_numpy(), _unpacked(table.column("hashes"))
+        names, roots = table.column("node").to_pylist(), table.column("root").to_pylist()
+        number = {r: k for k, r in enumerate(dict.fromkeys(roots))}
+        root = np.array([number[r] for r in roots])
+        first, second = np.flatnonzero(part == table.column("i")[0].as_py()), np.flatnonzero(part == table.column("j")[0].as_py())
+        sizes = np.array([len(s) for s in sets], np.float64)
+        both = overlaps(sets, first, second).astype(np.float64)
+        alike = both / (sizes[first][:, None] + sizes[second][None, :] - both) >= similarity
+        alike &= root[first][:, None] != root[second][None, :]
+        up, links = list(range(len(number))), []
+
+        def find(x: int) -> int:
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        for x, y in np.argwhere(alike).tolist():
+            x, y = int(first[x]), int(second[y])
+            p, q = find(int(root[x])), find(int(root[y]))
+            if p != q:
+                up[max(p, q)] = min(p, q)
+                links.append((names[x], names[y]))
+        return pa.table({"u": pa.array([a for a, _ in links], pa.binary()), "v": pa.array([b for _, b in links], pa.binary())})
+
+    return run
+
+
 def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
-                   bands: int = 20, rows: int = 6) -> DataFrame:
+                   bands: int = 20, rows: int = 6, block: int = 2048, block_shingles: int = 4_000_000) -> DataFrame:
     """``doc_id, tkey, root, component_id`` per row; ``root`` is the group's smallest node, ``component_id`` its smallest id
     (null only where all are). Texts without words, nulls included, are one group."""
     made = materialise(_sketches(docs, id_col, text_col, shingle, bands, rows), "shingle-sketches")
     nodes = materialise(made.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("tkey").alias("tkey"), F.max("size").alias("size"),
                                                  F.max("keys").alias("keys")), "shingle-nodes")
     dealt = nodes.select("node", "size", F.explode("keys").alias("bucket"))
-    ends = dealt.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    ends = dealt.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).filter("low < high")
     # only buckets of two nodes or more are looked at again
-    shared = materialise(dealt.join(ends, "bucket"), "shingle-buckets")
+    many = nodes.count() * bands
+    shared = materialise(join_counted(dealt, ends, "bucket", many), "shingle-buckets")
     near = lambda a, b: F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9  # noqa: E731  sizes further apart exclude it
     wanted = shared.select("node").distinct().join(nodes.select("node", "tkey"), "node")
     own = docs.select(text_key(text_col).alias("tkey"), column(text_col).cast("string").alias("text"))
     texts = own.join(wanted.select("tkey").distinct(), "tkey", "left_semi").groupBy("tkey").agg(F.any_value("text").alias("text"))
-    texts = materialise(wanted.join(texts, "tkey").select("node", "text"), "shingle-texts")
+    sets = materialise(_sets(wanted.join(texts, "tkey"), shingle), "shingle-sets")
 
     stars = (shared.select("node", F.explode(F.array_distinct(F.array("low", "high"))).alias("end")).filter("node <> end")
              .select(F.least("node", "end").alias("u"), F.greatest("node", "end").alias("v")).distinct())
     size = nodes.select(F.col("node").alias("u"), F.col("size").alias("u_size")), nodes.select(F.col("node").alias("v"), F.col("size").alias("v_size"))
     stars = stars.join(size[0], "u").join(size[1], "v").filter(near(F.col("u_size"), F.col("v_size"))).select("u", "v")
-    links = materialise(_verified(stars, texts, shingle, similarity), "shingle-links")
+    links = materialise(_verified(stars, sets, similarity), "shingle-links")
     roots = connected_components(links)
 
     placed = shared.join(roots, "node", "left").select("bucket", "node", "size", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n")).filter("a < b AND n > 2")
-    left = materialise(placed.join(mixed.select("bucket"), "bucket"), "shingle-open")
-    x = left.select("bucket", F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("root").alias("u_root"))
-    y = left.select("bucket", F.col("node").alias("v"), F.col("size").alias("v_size"), F.col("root").alias("v_root"))
-    rest = (x.join(y, "bucket").filter((F.col("u") < F.col("v")) & (F.col("u_root") != F.col("v_root")) & near(F.col("u_size"), F.col("v_size")))
-            .select("u", "v").distinct())
-    rest = rest.join(stars, ["u", "v"], "left_anti")
-    more = materialise(_verified(rest, texts, shingle, similarity), "shingle-links")
+    mixed = (placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
+             .filter("a < b AND n > 2"))
+    parts = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("shingles") / block_shingles)).cast("int")
+    left = join_counted(placed, mixed.select("bucket", "n", parts.alias("parts")), "bucket", many)
+    left = left.select("bucket", "node", "root", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    left = left.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    left = left.select("bucket", "node", "root", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    more = materialise(left.join(sets, "node").groupBy("bucket", "i", "j").applyInArrow(block_links(similarity), "u binary, v binary"), "shingle-links")
     if not more.isEmpty():
         roots = connected_components(links.union(more))
 
@@ -155,5 +209,5 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
     out = made.select("doc_id", "tkey", "node").join(named.join(firsts, "root").select("node", "root", "component_id"), "node")
     out = materialise(out.select("doc_id", "tkey", "root", "component_id"), "shingle-groups")
-    discard(made, nodes, shared, texts, links, left, more, named)
+    discard(made, nodes, shared, sets, links, more, named)
     return out

@@ -63,4 +63,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.SQL, "op4_license_scan": license_scan.sql(), "op5_mixing": mixing.SQL, "op9_line_dedup": line_dedup.SQL}
+    return {"op1_substring_dedup": substring_dedup.SQL, "op3_exact_dedup": exact_dedup.SQL, "op4_license_scan": license_scan.sql(), "op5_mixing": mixing.SQL,
+            "op8_decontamination": decontaminate.SQL, "op9_line_dedup": line_dedup.SQL}

@@ -12,7 +12,9 @@ documents goes through three steps:
    verified by a second, independent hash of the window's words. Windows of a smaller document or of history are
    repeats; new hashes become a new immutable run, written by the same job.
 3. Where that would make more than ``fanout`` runs, the job writes history and new hashes as one run instead, which
-   replaces the others: compaction reads and shuffles nothing that the merge has not read already.
+   replaces the others: compaction reads nothing that the merge has not read already.
+
+A run is a bucketed table, so history is merged where it lies: only the batch is shuffled.
 
 Batches come in order of ids, so history always stands for smaller ids. At last, words under repeated windows are cut
 from the texts, which meet their repeats by id.
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -284,7 +287,7 @@ def _table_of(rows: list[tuple]) -> pa.Table:
 
 
 class WindowIndex:
-    """Runs under ``path``: each a table of its own, complete once its job has committed it.
+    """Runs under ``path``: each a bucketed table of its own, complete once its job has committed it.
 
     ``buckets`` is fixed for the life of an index: a bucket's batch (about 100 bytes a window) and packed history (9 bytes
     a window) meet in one task, so choose it by the size that the index is to reach. ``groups``: how many groups the
@@ -299,53 +302,57 @@ class WindowIndex:
         self._fs_path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._fs_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _committed(self) -> list[str]:
+    def runs(self) -> list[str]:
+        """Committed runs, oldest first."""
         root = self._fs_path(self.path)
         if not self._fs.exists(root):
             return []
         names = [s.getPath().getName() for s in self._fs.listStatus(root) if s.isDirectory()]
         return sorted(n for n in names if self._fs.exists(self._fs_path(f"{self.path}/{n}/_SUCCESS")))
 
-    def runs(self) -> list[str]:
-        """Folders of runs, oldest first."""
-        out = []
-        for n in self._committed():
-            p = f"{self.path}/{n}/kind={HASHES}"
-            if self._fs.exists(self._fs_path(p)):
-                out.append(p)
-        return out
-
-    def _read(self, paths: list[str], kind: int) -> DataFrame:
-        columns = RUN.split(", ", 1)[1]
-        if not paths:
-            return self.spark.createDataFrame([], RUN)
-        return self.spark.read.schema(columns).parquet(*paths).select(F.lit(kind).alias("kind"), "*")
-
-    def add(self, rows: DataFrame, keep: bool = True) -> str:
+    def _table(self, run: str) -> str:
+        return f"plotweave_{xxhash.xxh64_hexdigest(self.path)}_{run.replace('-', '_')}"
+
+    def _read(self, run: str, kind: int) -> DataFrame:
+        """Rows of a run; a session that hasn't written it learns of the table first."""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._table(run)} ({RUN}) USING parquet CLUSTERED BY (key) SORTED BY (key) "
+                       f"INTO {self.buckets} BUCKETS LOCATION '{self.path}/{run}'")
+        return self.spark.table(self._table(run)).filter(F.col("kind") == kind)
+
+    def add(self, rows: DataFrame, keep: bool = True) -> DataFrame:
         """Merge a batch of (doc long, part long, text binary) into the index. Its ids must not be below earlier batches'.
 
-        Returns the folder of its repeated windows. ``keep=False``: no later batch follows, so no run is written. A failure
-        between the new run's commit and the old ones' removal leaves hashes twice, never missing: sets don't mind."""
+        Returns its repeated windows. ``keep=False``: no later batch follows, so no run is written. A failure between the
+        new run's commit and the old ones' removal leaves hashes twice, never missing: sets don't mind."""
+        spark = self.spark
         fresh = rows.mapInArrow(piece_runs(self.window, self.buckets, self.groups, self.piece_bytes), RUN)
         past = self.runs()
         compact = keep and len(past) + 1 > self.fanout
-        merged = (fresh.groupBy("key").cogroup(self._read(past, HASHES).groupBy("key"))
+        history = reduce(DataFrame.unionByName, [self._read(r, HASHES) for r in past]) if past else spark.createDataFrame([], RUN)
+        merged = (fresh.groupBy("key").cogroup(history.groupBy("key"))
                   .applyInArrow(merge_bucket(self.groups, compact), RUN))
-        if not keep:
-            merged = merged.filter(F.col("kind") == REPEATS)
-        name = f"batch-{1 + max([0, *(int(n.split('-')[1]) for n in self._committed())]):06d}"
-        with shuffle_cleanup(self.spark), arrow_rows(self.spark, 1000):  # whole texts are long rows
-            merged.write.partitionBy("kind").parquet(f"{self.path}/{name}")
+        with shuffle_cleanup(spark), arrow_rows(spark, 1000):  # whole texts are long rows
+            if not keep:
+                return materialise(merged.filter(F.col("kind") == REPEATS), "window-repeats")
+            name = f"run-{1 + max([0, *(int(n.split('-')[1]) for n in past)]):06d}"
+            spark.sql(f"DROP TABLE IF EXISTS {self._table(name)}")
+            self._delete(name)  # what an attempt without a commit has left
+            merged.write.bucketBy(self.buckets, "key").sortBy("key").format("parquet").option("path", f"{self.path}/{name}").saveAsTable(self._table(name))
+            repeats = materialise(self._read(name, REPEATS), "window-repeats")
         if compact:
             self.drop(past)
-        return f"{self.path}/{name}/kind={REPEATS}"
+        return repeats
 
-    def repeats(self, folders: list[str]) -> DataFrame:
-        return self._read([p for p in folders if self._fs.exists(self._fs_path(p))], REPEATS)
+    def _delete(self, name: str) -> None:
+        self._fs.delete(self._fs_path(f"{self.path}/{name}" if name else self.path), True)
 
-    def drop(self, folders: list[str] | None = None) -> None:
-        for p in [self.path] if folders is None else folders:
-            self._fs.delete(self._fs_path(p), True)
+    def drop(self, runs: list[str] | None = None) -> None:
+        """Forget some runs, or the whole index."""
+        for run in self.runs() if runs is None else runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(run)}")
+            self._delete(run)
+        if runs is None:
+            self._delete("")
 
 
 def cut_repeats(window: int, piece_bytes: int):
@@ -418,13 +425,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = docs.sparkSession
     text = F.coalesce(column(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(column(id_col).alias("doc_id"), F.coalesce(column(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), text.alias("text"))
-    marks = [k / batches for k in range(1, batches)]
+    marks = [k / (batches + 0.6) for k in range(1, batches)]  # the last batch writes no run, so it may be larger
     told = rows.agg(F.sum(F.length("text")), F.percentile_approx("doc", F.array(*[F.lit(m) for m in marks]), F.lit(1000)) if marks else F.lit(None)).first()
     size, bounds = told[0] or 0, sorted(set(told[1] or []))
     rows = _told_apart(rows)
     lasting = index is not None
     if not lasting:
-        buckets = 1 << max(0, int(np.ceil(np.log2(max(1, size / 6.4 / (len(bounds) + 1) / bucket_windows)))))
+        buckets = 1 << max(0, int(np.ceil(np.log2(max(1, size / 5 / (len(bounds) + 1) / bucket_windows)))))
         index = WindowIndex(spark, f"{shared_dir(spark)}/window-index-{uuid.uuid4().hex}", window, buckets, _prime(size // (2 << 20)), piece_bytes=piece_bytes)
     found = []
     for low, high in zip([None, *bounds], [*bounds, None], strict=True):
@@ -435,10 +442,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             part = part.filter(F.col("doc") <= high)
         found.append(index.add(part.select("doc", "part", "text"), keep=lasting or high is not None))
     if not lasting:
-        index.drop(index.runs())  # this call's history ends here; its repeats stay for the result
+        index.drop()  # this call's history ends here
     dealt = rows.withColumn("g", F.pmod(F.col("doc").bitwiseXOR(F.col("part")), F.lit(index.groups)))
     out_type = dict(docs.select(column(id_col).alias("doc_id")).dtypes)["doc_id"]
-    out = (dealt.groupBy("g").cogroup(index.repeats(found).select("g", "n", "a", "b", "c").groupBy("g"))
+    out = (dealt.groupBy("g").cogroup(reduce(DataFrame.unionByName, found).select("g", "n", "a", "b", "c").groupBy("g"))
            .applyInArrow(cut_repeats(index.window, index.piece_bytes), f"doc_id {out_type}, text string, n_words long, n_removed long, rows long"))
     again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))
     return out.select("doc_id", "text", "n_words", "n_removed", again.alias("k")).drop("k")
@@ -450,3 +457,14 @@ def _prime(least: int) -> int:
     while any(n % k == 0 for k in range(2, int(n ** 0.5) + 1)):
         n += 1
     return n
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     g AS (SELECT doc_id, s, array_to_string(list_slice(w, s, s + 12), ' ') AS words FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM d WHERE len(w) >= 13)),
+     f AS (SELECT words, min(doc_id) AS first FROM g GROUP BY words),
+     c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM g JOIN f USING (words) WHERE first < doc_id),
+     k AS (SELECT x.doc_id, count(c.p) AS n_removed, string_agg(x.word, ' ' ORDER BY x.p) FILTER (WHERE c.p IS NULL) AS kept
+           FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d) x LEFT JOIN c ON c.doc_id = x.doc_id AND c.p = x.p GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
