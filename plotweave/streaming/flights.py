@@ -112,7 +112,7 @@ def carry_forward(records: DataFrame, least: int = 8000) -> DataFrame:
     """``field, flight, n, offset`` in, the last good offset by field out (a good one has ``least`` pixels).
 
     State is one number a flight of a field; in whatever order flights come, the last row told of each is what the ordered
-    table gives, so the sink replaces by (field, flight)."""
+    table gives, so the sink replaces by (field, flight). The session's state store becomes RocksDB, which this needs."""
     records.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return records.groupBy("field").transformWithStateInPandas(
         statefulProcessor=_Carry(least), outputStructType="field string, flight string, off double", outputMode="Append", timeMode="None")

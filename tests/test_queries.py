@@ -56,5 +56,5 @@ def test_the_rest_works_without_the_corpus_operators(tmp_path):
     root = Path(entry.__file__).parent
     shutil.copytree(root / "plotweave", tmp_path / "plotweave", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(root / "__spark_entry__.py", tmp_path)
-    code = "import __spark_entry__ as e; assert e.queries() and not [q for q in e.queries() if q.startswith('op') and q[2].isdigit()]; assert 'pipeline' not in e.queries()"
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, check=True, timeout=120)
+    code = "import __spark_entry__ as e; assert e.queries() and not [q for q in e.queries() if q.startswith('op') and q[2].isdigit()]; assert 'pipeline' not in e.queries(); from pyspark.sql import SparkSession; s = SparkSession.builder.master('local[2]').config('spark.sql.shuffle.partitions', '2').config('spark.ui.enabled', 'false').getOrCreate(); assert e.entry(s).count() > 0"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, check=True, timeout=300)
