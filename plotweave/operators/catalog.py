@@ -160,3 +160,54 @@ def mutual_nearest(first: DataFrame, second: DataFrame, block: str, key: str = "
     best_a = s.groupBy("a").agg(F.max_by("b", F.struct("cos", -F.col("b"))).alias("b"), F.max("cos").alias("cos"))
     best_b = s.groupBy("b").agg(F.max_by("a", F.struct("cos", -F.col("a"))).alias("a"))
     return best_a.join(best_b, ["a", "b"]).select("a", "b", "cos")
+
+
+def audit(images: DataFrame, priors: DataFrame, key: str, system: str) -> DataFrame:
+    """``n_images, n_priors, n_missing, n_systems`` in one row."""
+    told = priors.agg(F.count(F.lit(1)).alias("n_priors"), F.countDistinct(system).alias("n_systems"))
+    missing = images.join(priors, key, "left_anti").agg(F.count(F.lit(1)).alias("n_missing"))
+    return images.agg(F.count(F.lit(1)).alias("n_images")).crossJoin(told).crossJoin(missing)
+
+
+def batch_summary(flights: DataFrame, status: str = "status", photos: str = "n") -> DataFrame:
+    return flights.groupBy(status).agg(F.count(F.lit(1)).alias("n_flights"), F.sum(photos).alias("n_photos"))
+
+
+def counts_by_origin(photos: DataFrame, by: str, origin: str, names: list[str]) -> DataFrame:
+    return photos.groupBy(by).pivot(origin, names).count()
+
+
+def stale(flights: DataFrame, version: int, column: str = "version") -> DataFrame:
+    """Flights whose products an older version made, or none that told its own."""
+    return flights.filter(F.col(column).isNull() | (F.col(column) < version))
+
+
+def latest(files: DataFrame, by: str, name: str, order: list[str]) -> DataFrame:
+    """The largest file of each group by ``order``, and its size, the first of these."""
+    return files.groupBy(by).agg(F.max_by(name, F.struct(*order)).alias(name), F.max(order[0]).alias(order[0]))
+
+
+def submodels(images: DataFrame, by: str, model: str) -> DataFrame:
+    """``n, rank, share`` of each sub-model by size."""
+    g = images.groupBy(by, model).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(by)
+    return g.select(by, model, "n", F.row_number().over(w.orderBy(F.desc("n"), model)).alias("rank"), (F.col("n") / F.sum("n").over(w)).alias("share"))
+
+
+def select_flights(flights: DataFrame, crops: list[str] | None = None, only: str | None = None) -> DataFrame:
+    """Flights of some crops, whatever their case, with a piece of text in their name; ``key`` is crop/flight."""
+    if crops is not None:
+        flights = flights.filter(F.lower("crop").isin(*[c.lower() for c in crops]))
+    if only is not None:
+        flights = flights.filter(F.contains("flight", F.lit(only)))
+    return flights.withColumn("key", F.concat_ws("/", "crop", "flight"))
+
+
+def photo_listing(files: DataFrame, by: list[str], name: str, least: int = 5) -> DataFrame:
+    """``n, first, any_jpeg`` of the folders with ``least`` photos or more, suffixes in any case."""
+    x = files.filter(F.lower(name).rlike("[.]jpe?g$"))
+    return x.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("first"), F.bool_or(F.lower(name).endswith(".jpeg")).alias("any_jpeg")).filter(F.col("n") >= least)
+
+
+def without_prior(images: DataFrame, priors: DataFrame, key: str) -> DataFrame:
+    return images.join(priors, key, "left_anti")

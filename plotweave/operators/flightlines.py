@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NADIR = -80.0
@@ -44,3 +44,60 @@ def rtk_quality(photos: DataFrame, by: list[str], rtk: str = "rtk", fixed: int =
     s = lambda c: F.col(f"{rtk}.{c}")
     return photos.groupBy(*by).agg(F.median(F.greatest(s("lon"), s("lat"))).alias("xy"), F.median(s("hgt")).alias("z"),
                                    F.avg((s("flag") == fixed).cast("int")).alias("fixed"))
+
+
+def tracks(photos: DataFrame, by: list[str], nadir: float = NADIR) -> DataFrame:
+    """``along`` and ``across`` of each photo: its place turned into the flight lines' axis."""
+    x = photos.join(axis(photos, by, nadir), by)
+    s, c = F.sin("axis"), F.cos("axis")
+    return x.withColumn("along", F.col("east") * s + F.col("north") * c).withColumn("across", F.col("east") * c - F.col("north") * s)
+
+
+def centred(photos: DataFrame, columns: list[str]) -> DataFrame:
+    """Coordinates less their mean, which is one row."""
+    mean = photos.agg(*[F.avg(c).alias(f"__{c}") for c in columns])
+    x = photos.crossJoin(F.broadcast(mean))
+    for c in columns:
+        x = x.withColumn(c, F.col(c) - F.col(f"__{c}"))
+    return x.drop(*[f"__{c}" for c in columns])
+
+
+def oblique_pairs(photos: DataFrame, by: list[str], key: str, nadir: float = NADIR) -> DataFrame:
+    """``a < b``: every oblique photo of a flight with each other photo of it, once."""
+    x = photos.select(F.col(key).alias("__k"), *by, "pitch")
+    o = x.filter(F.col("pitch") > nadir).select(F.col("__k").alias("__o"), *by)
+    both = o.join(x, by).filter((F.col("pitch") <= nadir) | (F.col("__k") > F.col("__o")))
+    return both.select(F.least("__o", "__k").alias("a"), F.greatest("__o", "__k").alias("b")).distinct()
+
+
+def degrees(nodes: DataFrame, pairs: DataFrame, key: str, by: list[str], a: str = "a", b: str = "b") -> DataFrame:
+    """``least, median, most, alone`` of the nodes' partners, for each group."""
+    ends = pairs.select(F.explode(F.array(a, b)).alias(key)).groupBy(key).agg(F.count(F.lit(1)).alias("deg"))
+    x = nodes.select(key, *by).join(ends, key, "left").withColumn("deg", F.coalesce("deg", F.lit(0)))
+    return x.groupBy(*by).agg(F.min("deg").alias("least"), F.median("deg").alias("median"), F.max("deg").alias("most"), F.count_if(F.col("deg") == 0).alias("alone"))
+
+
+def edge_class(tilted: Column, distance: Column, spacing: float, share: float = 0.4) -> Column:
+    """A pair is oblique, within a row (nearer than ``share`` of the row spacing), or across rows."""
+    return F.when(tilted, "oblique").when(F.abs(distance) < share * spacing, "same row").otherwise("cross row")
+
+
+def angle_histogram(angle: Column, edges: tuple[int, ...] = (5, 10, 20, 30, 45), top: int = 90) -> Column:
+    """The bucket of an angle below ``top``, as ``00-05``."""
+    bounds = [0, *edges, top]
+    out = F.lit(None).cast("string")
+    for low, high in reversed(list(zip(bounds, bounds[1:], strict=False))):
+        out = F.when(angle < high, f"{low:02d}-{high:02d}").otherwise(out)
+    return out
+
+
+def footprint_radius(height: Column, half_diagonal: float, focal: float, margin: float = 2.0, least: float = 1.0) -> Column:
+    """How far from the camera's foot a photo reaches, in metres; ``half_diagonal`` and ``focal`` in pixels."""
+    return F.greatest(height, F.lit(least)) * half_diagonal / focal + margin
+
+
+def native_gsd(points: DataFrame, cameras: DataFrame, focal: float, z: str = "z") -> DataFrame:
+    """``gsd, cameras``: the median height above the median ground, of the cameras above it, a pixel."""
+    ground = points.agg(F.median(z).alias("__g"))
+    agl = F.col(z) - F.col("__g")
+    return cameras.crossJoin(F.broadcast(ground)).agg((F.median(F.when(agl > 0, agl)) / focal).alias("gsd"), F.count(F.lit(1)).alias("cameras"))

@@ -184,3 +184,51 @@ def blobs(mask: DataFrame, by: tuple[str, ...] = (), max_rounds: int = 200) -> D
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     out = cells.join(labels, [*by, "run"]).drop("run")
     return out.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy(*by, "blob")))
+
+
+def mosaic_first(surfaces: DataFrame, order: str, value: str = "dsm") -> DataFrame:
+    """``row, col, z, hits``: each cell's value on the first surface that has it, and on how many it is."""
+    return surfaces.groupBy("row", "col").agg(F.min_by(value, order).alias("z"), F.count(F.lit(1)).alias("hits"))
+
+
+def resize(raster: DataFrame, value: str, factor: int = 2) -> DataFrame:
+    """``row, col, area, nearest``: the mean of ``factor`` x ``factor`` cells, and the value of their first."""
+    cut = lambda c: F.floor(F.col(c) / factor)
+    corner = (F.col("row") % factor == 0) & (F.col("col") % factor == 0)
+    return (raster.groupBy(cut("row").alias("row"), cut("col").alias("col"))
+            .agg(F.avg(value).alias("area"), F.max(F.when(corner, F.col(value))).alias("nearest")))
+
+
+def crosscheck(surfaces: DataFrame, by: str = "flight", value: str = "dsm") -> DataFrame:
+    """``fa, fb, n, diff``: median difference of each two surfaces over the cells that both have."""
+    c = surfaces.select(F.col(by).alias("fa"), "row", "col", F.col(value).alias("__a"))
+    b = surfaces.select(F.col(by).alias("fb"), "row", "col", F.col(value).alias("__b"))
+    x = c.join(b, ["row", "col"]).filter("fa < fb")
+    return x.groupBy("fa", "fb").agg(F.count(F.lit(1)).alias("n"), F.median(F.col("__a") - F.col("__b")).alias("diff"))
+
+
+def shares(cells: DataFrame, by: str, total: int, hits: str = "n", value: str = "dsm") -> DataFrame:
+    """Of ``total`` cells: ``hit`` and ``single`` (one observation only), and the surface's ``relief``."""
+    return cells.groupBy(by).agg((F.count(F.lit(1)) / total).alias("hit"), (F.count_if(F.col(hits) == 1) / total).alias("single"), (F.max(value) - F.min(value)).alias("relief"))
+
+
+def extent(points: DataFrame, by: str) -> DataFrame:
+    return points.groupBy(by).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"), (F.max("z") - F.min("z")).alias("ptp_z"))
+
+
+def canvas(points: DataFrame, by: str, cell: float, margin: float) -> DataFrame:
+    """``w, h, x0, y1``: size in cells and origin of a raster over the points and a margin."""
+    cut = lambda c: ((F.max(c) - F.min(c) + 2 * margin) / cell).cast("int")
+    return points.groupBy(by).agg(cut("x").alias("w"), cut("y").alias("h"), (F.min("x") - margin).alias("x0"), (F.max("y") + margin).alias("y1"))
+
+
+def tile_stats(cells: DataFrame, value: str, tile: int) -> DataFrame:
+    t = lambda c: F.floor(F.col(c) / tile)
+    return cells.groupBy(t("row").alias("tile_row"), t("col").alias("tile_col")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), (F.max(value) - F.min(value)).alias("relief"))
+
+
+def carry_forward(flights: DataFrame, value: str, good, field: str = "field", order: str = "flight") -> DataFrame:
+    """``off``: the last value of a good flight of the field, the flight itself included."""
+    w = Window.partitionBy(field).orderBy(order)
+    return flights.withColumn("off", F.last(F.when(good, F.col(value)), ignorenulls=True).over(w))

@@ -93,10 +93,7 @@ def first_without_prior(spark, d):
 @query("""SELECT (SELECT count(*) FROM images) AS n_images, (SELECT count(*) FROM priors) AS n_priors, (SELECT count(*) FROM images WHERE image_id NOT IN (SELECT image_id FROM priors)) AS n_missing,
 (SELECT count(DISTINCT coordinate_system) FROM priors) AS n_systems""", "images", "priors")
 def prior_audit(spark, d):
-    i, p = images(spark, d), view(spark, d, "priors")
-    one = lambda df, name, c="*": df.agg((F.count(F.lit(1)) if c == "*" else F.countDistinct(c)).alias(name))
-    missing = i.join(p, "image_id", "left_anti")
-    return one(i, "n_images").crossJoin(one(p, "n_priors")).crossJoin(one(missing, "n_missing")).crossJoin(one(p, "n_systems", "coordinate_system"))
+    return catalog.audit(images(spark, d), view(spark, d, "priors"), "image_id", "coordinate_system")
 
 
 @query("SELECT i.image_id, i.name, round(p.px, 6) AS px, p.py, p.pz, p.coordinate_system FROM images i JOIN priors p USING (image_id)", "images", "priors")
@@ -107,7 +104,7 @@ def priors_join_images(spark, d):
 
 @query("SELECT image_id, name FROM images WHERE image_id NOT IN (SELECT image_id FROM priors)", "images", "priors")
 def images_without_prior(spark, d):
-    return images(spark, d).join(view(spark, d, "priors"), "image_id", "left_anti")
+    return catalog.without_prior(images(spark, d), view(spark, d, "priors"), "image_id")
 
 
 @query("""SELECT name, 'added' AS change FROM (SELECT name FROM images WHERE image_id % 3 <> 0 EXCEPT SELECT name FROM images WHERE image_id % 4 <> 0)
@@ -127,7 +124,7 @@ def merge_folders(spark, d):
 @query("SELECT DISTINCT crop || '/' || flight AS key, crop, flight FROM frames WHERE lower(crop) IN ('click', 'view') AND contains(flight, '-01-0')", "frames")
 def filter_flights(spark, d):
     f = view(spark, d, "frames").select("crop", "flight").distinct()
-    return f.filter(F.lower("crop").isin("click", "view") & F.contains("flight", F.lit("-01-0"))).select(F.concat_ws("/", "crop", "flight").alias("key"), "crop", "flight")
+    return catalog.select_flights(f, ["Click", "view"], "-01-0").select("key", "crop", "flight")
 
 
 _FILE = "name || CASE event_id % 4 WHEN 0 THEN '.JPG' WHEN 1 THEN '.jpeg' WHEN 2 THEN '.Jpg' ELSE '.txt' END"
@@ -136,9 +133,7 @@ _FILE = "name || CASE event_id % 4 WHEN 0 THEN '.JPG' WHEN 1 THEN '.jpeg' WHEN 2
 @query(f"""SELECT crop, flight, count(*) AS n, min(file) AS first, bool_or(lower(file) LIKE '%.jpeg') AS any_jpeg FROM (SELECT *, {_FILE} AS file FROM frames)
 WHERE regexp_matches(lower(file), '[.]jpe?g$') GROUP BY crop, flight HAVING count(*) >= 5""", "frames")
 def list_images(spark, d):
-    x = view(spark, d, "frames").withColumn("file", F.expr(_FILE)).filter(F.lower("file").rlike("[.]jpe?g$"))
-    return x.groupBy("crop", "flight").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("first"),
-                                           F.bool_or(F.lower("file").endswith(".jpeg")).alias("any_jpeg")).filter("n >= 5")
+    return catalog.photo_listing(view(spark, d, "frames").withColumn("file", F.expr(_FILE)), ["crop", "flight"], "file")
 
 
 @query("""SELECT name, CASE WHEN image_id % 2 = 0 THEN '/a/' || name WHEN image_id % 3 = 0 THEN '/b/' || name END AS path,
@@ -152,8 +147,7 @@ def resolve_images(spark, d):
 
 @query("SELECT crop, arg_max(flight, size * 1000000 + first) AS flight, max(size) AS size FROM (SELECT crop, flight, first, n * 40 AS size FROM " + _FLIGHTS + ") GROUP BY crop")
 def latest_artifact(spark, d):
-    f = flight_files(spark, d).withColumnRenamed("ply_points", "size")
-    return f.groupBy("crop").agg(F.max_by("flight", F.struct("size", "first")).alias("flight"), F.max("size").alias("size"))
+    return catalog.latest(flight_files(spark, d).withColumnRenamed("ply_points", "size"), "crop", "flight", ["size", "first"])
 
 
 @query(f"SELECT crop, flight, first % 2 = 0 AS matched, first % 2 = 0 AND first % 3 = 0 AS verified, first % 5 <> 0 AS raw, first % 5 <> 0 AND n >= 10 AS refined, n * 40 >= 1000 AS fused FROM {_FLIGHTS}")
@@ -165,19 +159,19 @@ def resume_flags(spark, d):
 
 @query(f"SELECT status, count(*) AS n_flights, sum(n)::BIGINT AS n_photos FROM {_FLIGHTS} GROUP BY status")
 def batch_summary(spark, d):
-    return flight_files(spark, d).groupBy("status").agg(F.count(F.lit(1)).alias("n_flights"), F.sum("n").alias("n_photos"))
+    return catalog.batch_summary(flight_files(spark, d))
 
 
 @query("""SELECT crop, count(*) FILTER (WHERE event_id % 4 = 0) AS src2, count(*) FILTER (WHERE event_id % 4 <> 0) AS src FROM frames GROUP BY crop""", "frames")
 def origin_counts(spark, d):
     x = view(spark, d, "frames").withColumn("origin", F.when(F.col("event_id") % 4 == 0, "src2").otherwise("src"))
-    return x.groupBy("crop").pivot("origin", ["src2", "src"]).count()
+    return catalog.counts_by_origin(x, "crop", "origin", ["src2", "src"])
 
 
 @query(f"SELECT crop, flight, CASE WHEN first % 3 = 0 THEN 11 ELSE 10 END AS version FROM {_FLIGHTS} WHERE first % 3 <> 0")
 def invalidate_stale(spark, d):
     f = flight_files(spark, d).select("crop", "flight", F.when(F.col("first") % 3 == 0, 11).otherwise(10).alias("version"))
-    return f.filter("version < 11")
+    return catalog.stale(f, 11)
 
 
 @query("SELECT event_type AS crop, count(*) AS n, count(DISTINCT cast(ts as date)) AS flights, CAST('{\"n\":' || count(*) || ',\"flights\":' || count(DISTINCT cast(ts as date)) || '}' AS VARCHAR) AS status FROM events GROUP BY 1")
@@ -212,10 +206,8 @@ def first_calibration(spark, d):
 @query("""SELECT crop, sub, n, rank, share FROM (SELECT *, CAST(row_number() OVER (PARTITION BY crop ORDER BY n DESC, sub) AS INT) AS rank, round(n * 1e0 / sum(n) OVER (PARTITION BY crop), 6) AS share
 FROM (SELECT crop, event_id % 4 AS sub, count(*) AS n FROM frames GROUP BY 1, 2))""", "frames")
 def submodel_rank(spark, d):
-    g = view(spark, d, "frames").groupBy("crop", (F.col("event_id") % 4).alias("sub")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("crop")
-    return g.select("crop", "sub", "n", F.row_number().over(w.orderBy(F.desc("n"), "sub")).alias("rank"),
-                    F.round(F.col("n") / F.sum("n").over(w), 6).alias("share"))
+    x = catalog.submodels(view(spark, d, "frames").withColumn("sub", F.col("event_id") % 4), "crop", "sub")
+    return x.select("crop", "sub", "n", "rank", F.round("share", 6).alias("share"))
 
 
 @query("SELECT crop, flight, CAST(k AS INT) AS k FROM (SELECT crop, flight, row_number() OVER (PARTITION BY crop ORDER BY flight) AS k FROM (SELECT DISTINCT crop, flight FROM frames)) WHERE k <= 2", "frames")

@@ -88,10 +88,8 @@ def utm_project(spark, d):
 
 @query("""SELECT event_id, round(e - avg(e) OVER (), 4) + 0e0 AS e, round(n - avg(n) OVER (), 4) + 0e0 AS n, round(alt - avg(alt) OVER (), 4) + 0e0 AS alt FROM (SELECT event_id, east AS e, north AS n, alt FROM frames)""", "frames")
 def centroid_shift(spark, d):
-    x = view(spark, d, "frames")
-    c = x.agg(F.avg("east").alias("ce"), F.avg("north").alias("cn"), F.avg("alt").alias("ca"))
-    x = x.crossJoin(F.broadcast(c))  # one row
-    return x.select("event_id", *[(F.round(F.col(a) - F.col(b), 4) + 0.0).alias(k) for a, b, k in (("east", "ce", "e"), ("north", "cn", "n"), ("alt", "ca", "alt"))])
+    x = flightlines.centred(view(spark, d, "frames").select("event_id", F.col("east").alias("e"), F.col("north").alias("n"), "alt"), ["e", "n", "alt"])
+    return x.select("event_id", *[(F.round(c, 4) + 0.0).alias(c) for c in ("e", "n", "alt")])
 
 
 _AXIS = "SELECT crop, flight, atan2(round(avg(sin(2 * radians(heading))), 9), round(avg(cos(2 * radians(heading))), 9)) / 2 AS axis FROM frames WHERE pitch <= -80 GROUP BY 1, 2"
@@ -104,10 +102,8 @@ def axis_azimuth(spark, d):
 
 @query(f"SELECT event_id, round(east * sin(axis) + north * cos(axis), 5) AS along, round(east * cos(axis) - north * sin(axis), 5) AS across FROM frames JOIN ({_AXIS}) USING (crop, flight)", "frames")
 def track_rotation(spark, d):
-    x = view(spark, d, "frames")
-    x = x.join(flightlines.axis(x, GROUP), GROUP)
-    s, c = F.sin("axis"), F.cos("axis")
-    return x.select("event_id", F.round(F.col("east") * s + F.col("north") * c, 5).alias("along"), F.round(F.col("east") * c - F.col("north") * s, 5).alias("across"))
+    x = flightlines.tracks(view(spark, d, "frames"), GROUP)
+    return x.select("event_id", F.round("along", 5).alias("along"), F.round("across", 5).alias("across"))
 
 
 _STEPS = """SELECT crop, flight, step FROM (SELECT crop, flight, sqrt((east - pe) ** 2 + (north - pn) ** 2) AS step, abs(((h - ph + 180 + 360) % 360) - 180) AS turn FROM (SELECT crop, flight, heading AS h, east, north,
@@ -143,10 +139,7 @@ def overlap_pairs(spark, d):
 @query("""SELECT least(o.event_id, x.event_id) AS a, greatest(o.event_id, x.event_id) AS b FROM frames o JOIN frames x ON o.crop = x.crop AND o.flight = x.flight
 WHERE o.pitch > -80 AND (x.pitch <= -80 OR x.event_id > o.event_id)""", "frames")
 def oblique_pairs(spark, d):
-    x = view(spark, d, "frames").select("event_id", *GROUP, "pitch")
-    o = x.filter("pitch > -80").select(F.col("event_id").alias("o"), *GROUP)
-    both = o.join(x, GROUP).filter((F.col("pitch") <= -80) | (F.col("event_id") > F.col("o")))
-    return both.select(F.least("o", "event_id").alias("a"), F.greatest("o", "event_id").alias("b")).distinct()
+    return flightlines.oblique_pairs(view(spark, d, "frames"), GROUP, "event_id")
 
 
 @query(f"SELECT a, b, a * 2147483647 + b AS pair_id, (a * 2147483647 + b) % 2147483647 AS second FROM ({_PAIRS})", "frames")
@@ -159,10 +152,9 @@ def pair_ids(spark, d):
 @query(f"""SELECT crop, flight, min(deg) AS least, round(median(deg), 6) AS median, max(deg) AS most, count(*) FILTER (WHERE deg = 0) AS alone FROM (SELECT f.crop, f.flight, f.event_id, count(p.i) AS deg FROM frames f
 LEFT JOIN (SELECT a AS i FROM ({_PAIRS}) UNION ALL SELECT b FROM ({_PAIRS})) p ON p.i = f.event_id WHERE f.pitch <= -80 GROUP BY 1, 2, 3) GROUP BY crop, flight""", "frames")
 def degree_stats(spark, d):
-    ends = pairs(spark, d).select(F.explode(F.array("a_event_id", "b_event_id")).alias("event_id")).groupBy("event_id").agg(F.count(F.lit(1)).alias("deg"))
-    nodes = view(spark, d, "frames").filter("pitch <= -80").select("event_id", *GROUP)
-    x = nodes.join(ends, "event_id", "left").withColumn("deg", F.coalesce("deg", F.lit(0)))
-    return x.groupBy(*GROUP).agg(F.min("deg").alias("least"), N.r6(F.median("deg")).alias("median"), F.max("deg").alias("most"), F.count_if(F.col("deg") == 0).alias("alone"))
+    nodes = view(spark, d, "frames").filter("pitch <= -80")
+    x = flightlines.degrees(nodes, pairs(spark, d), "event_id", GROUP, "a_event_id", "b_event_id")
+    return x.select(*GROUP, "least", N.r6("median").alias("median"), "most", "alone")
 
 
 @query(f"""SELECT CASE WHEN a % 4 = 0 THEN 'src2' ELSE 'src' END AS origin_a, CASE WHEN b % 4 = 0 THEN 'src2' ELSE 'src' END AS origin_b, count(*) AS n FROM ({_PAIRS}) GROUP BY 1, 2""", "frames")
@@ -173,10 +165,9 @@ def cross_folder_pairs(spark, d):
 
 @query(f"SELECT CASE WHEN a % 9 = 1 OR b % 9 = 1 THEN 'oblique' WHEN abs(ea - eb) < 4e-1 * 4 THEN 'same row' ELSE 'cross row' END AS kind, count(*) AS n FROM ({_PAIRS}) GROUP BY 1", "frames")
 def edge_class(spark, d):
-    p = pairs(spark, d)
     tilted = (F.col("a_event_id") % 9 == 1) | (F.col("b_event_id") % 9 == 1)
-    kind = F.when(tilted, "oblique").when(F.abs(F.col("a_east") - F.col("b_east")) < 0.4 * 4, "same row").otherwise("cross row")
-    return p.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    kind = flightlines.edge_class(tilted, F.col("a_east") - F.col("b_east"), 4.0)
+    return pairs(spark, d).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT event_id, name, coalesce(pitch > -80, false) AS oblique FROM frames", "frames")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import bilinear, cell_centre, colour_indices, r6
-from ..operators import zonal
+from ..operators import raster, zonal
 from ..operators.catalog import pick_column
 from ..operators.joins import points_in_quads
 from .registering import query
@@ -102,9 +102,7 @@ def plot_pixel_counts(spark, d):
 
 @query("SELECT row // 32 AS tile_row, col // 32 AS tile_col, count(*) AS n, round(avg(dsm), 6) AS mean, round(max(dsm) - min(dsm), 6) AS relief FROM cells GROUP BY 1, 2", "cells")
 def tile_stats(spark, d):
-    t = lambda c: F.floor(F.col(c) / 32)
-    return cells(spark, d).groupBy(t("row").alias("tile_row"), t("col").alias("tile_col")).agg(
-        F.count(F.lit(1)).alias("n"), r6(F.avg("dsm")).alias("mean"), r6(F.max("dsm") - F.min("dsm")).alias("relief"))
+    return raster.tile_stats(cells(spark, d), "dsm", 32).select("tile_row", "tile_col", "n", r6("mean").alias("mean"), r6("relief").alias("relief"))
 
 
 @query("SELECT g.plot_id AS grid_id, n.id AS plot_id FROM (SELECT plot_id, row_number() OVER (ORDER BY r, c) AS k FROM plots) g JOIN (SELECT 7 * plot_id + 3 AS id, row_number() OVER (ORDER BY plot_id) AS k FROM plots) n USING (k)", "plots")

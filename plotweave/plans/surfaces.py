@@ -99,7 +99,7 @@ _GROUND = "(SELECT row, col, round(arg_min(dsm, flight), 6) AS z, count(*) AS hi
 
 @query(f"SELECT row, col, z, hits FROM {_GROUND}", "cells")
 def mosaic_first(spark, d):
-    return cells(spark, d).filter("dsm < 4306e-1").groupBy("row", "col").agg(N.r6(F.min_by("dsm", "flight")).alias("z"), F.count(F.lit(1)).alias("hits"))
+    return raster.mosaic_first(cells(spark, d).filter("dsm < 4306e-1"), "flight").select("row", "col", N.r6("z").alias("z"), "hits")
 
 
 def _high(spark, d) -> DataFrame:
@@ -155,10 +155,8 @@ def datum_offset_mad(spark, d):
 def datum_carry_forward(spark, d):
     x = _datum(spark, d)
     least = x.agg(F.median("n").alias("least"))
-    good = F.when(F.col("n") >= F.col("least"), N.r6("offset"))
-    w = Window.partitionBy("field").orderBy("flight")
     x = x.crossJoin(F.broadcast(least)).withColumn("field", F.lit("all"))  # one field here: the state is kept a field
-    return x.select("flight", F.last(good, ignorenulls=True).over(w).alias("off"))
+    return raster.carry_forward(x, "offset", F.col("n") >= F.col("least")).select("flight", N.r6("off").alias("off"))
 
 
 @query(f"""SELECT c.flight, c.row, c.col, round(c.dsm - (g.z + o.o), 6) AS height FROM cells c JOIN {_GROUND} g ON g.row = c.row AND g.col = c.col JOIN {_OFFSET} o ON o.flight = c.flight""", "cells")
@@ -192,9 +190,7 @@ def gaussian_smooth(spark, d):
 
 @query("""SELECT row // 2 AS row, col // 2 AS col, round(avg(z), 6) AS area, round(max(CASE WHEN row % 2 = 0 AND col % 2 = 0 THEN z END), 6) AS nearest FROM surface GROUP BY 1, 2""", "surface")
 def resize_raster(spark, d):
-    half = lambda c: F.floor(F.col(c) / 2)
-    near = F.max(F.when((F.col("row") % 2 == 0) & (F.col("col") % 2 == 0), F.col("z")))
-    return surface(spark, d).groupBy(half("row").alias("row"), half("col").alias("col")).agg(N.r6(F.avg("z")).alias("area"), N.r6(near).alias("nearest"))
+    return raster.resize(surface(spark, d), "z").select("row", "col", N.r6("area").alias("area"), N.r6("nearest").alias("nearest"))
 
 
 _BARE = ("(SELECT flight, row, col, dsm, plot_id, plot_id % 3 <> 0 AND row % 7 <> 0 AND dsm - 4302e-1 BETWEEN -25e-2 AND 12e-2 AS bare, row % 7 <> 0 AS outside FROM pixels)")
@@ -222,10 +218,7 @@ def bare_fraction(spark, d):
 
 @query("SELECT a.flight AS fa, b.flight AS fb, count(*) AS n, round(median(a.dsm - b.dsm), 6) AS diff FROM cells a JOIN cells b ON a.row = b.row AND a.col = b.col AND a.flight < b.flight GROUP BY 1, 2", "cells")
 def ref_crosscheck(spark, d):
-    c = cells(spark, d).select("flight", "row", "col", "dsm")
-    b = c.select(F.col("flight").alias("fb"), "row", "col", F.col("dsm").alias("db"))
-    x = c.join(b, ["row", "col"]).filter("flight < fb")
-    return x.groupBy(F.col("flight").alias("fa"), "fb").agg(F.count(F.lit(1)).alias("n"), N.r6(F.median(F.col("dsm") - F.col("db"))).alias("diff"))
+    return raster.crosscheck(cells(spark, d)).select("fa", "fb", "n", N.r6("diff").alias("diff"))
 
 
 @query("SELECT row, col, bool_and(dsm < 4308e-1) AS every, bool_or(dsm < 4304e-1) AS any, NOT bool_or(n > 3) AS calm FROM cells GROUP BY row, col", "cells")
@@ -235,12 +228,12 @@ def mask_algebra(spark, d):
 
 @query("SELECT flight, round(100 * count(*) / 19200e0, 6) AS hit_pct, round(100 * count(*) FILTER (WHERE n = 1) / 19200e0, 6) AS single_pct FROM cells GROUP BY flight", "cells")
 def coverage_shares(spark, d):
-    return cells(spark, d).groupBy("flight").agg(N.r6(100 * F.count(F.lit(1)) / 19200).alias("hit_pct"), N.r6(100 * F.count_if(F.col("n") == 1) / 19200).alias("single_pct"))
+    return raster.shares(cells(spark, d), "flight", 19200).select("flight", N.r6(100 * F.col("hit")).alias("hit_pct"), N.r6(100 * F.col("single")).alias("single_pct"))
 
 
 @query("SELECT flight, round(max(dsm) - min(dsm), 6) AS relief, round(count(*) / 19200e0, 6) AS hit FROM cells GROUP BY flight", "cells")
 def dsm_relief(spark, d):
-    return cells(spark, d).groupBy("flight").agg(N.r6(F.max("dsm") - F.min("dsm")).alias("relief"), N.r6(F.count(F.lit(1)) / 19200).alias("hit"))
+    return raster.shares(cells(spark, d), "flight", 19200).select("flight", N.r6("relief").alias("relief"), N.r6("hit").alias("hit"))
 
 
 @query("SELECT flight, CASE WHEN a > 0 AND r > 60 THEN 255 ELSE 0 END AS alpha, count(*) AS n, sum(CASE WHEN a > 0 AND r > 60 THEN g ELSE 0 END)::BIGINT AS green FROM rgb GROUP BY 1, 2", "rgb")
@@ -251,13 +244,12 @@ def alpha_mask(spark, d):
 
 @query("SELECT flight, round(min(x), 6) AS x0, round(max(x), 6) AS x1, round(min(y), 6) AS y0, round(max(y), 6) AS y1, round(max(z) - min(z), 6) AS ptp_z FROM points GROUP BY flight", "points")
 def cloud_extent(spark, d):
-    return view(spark, d, "points").groupBy("flight").agg(N.r6(F.min("x")).alias("x0"), N.r6(F.max("x")).alias("x1"), N.r6(F.min("y")).alias("y0"), N.r6(F.max("y")).alias("y1"), N.r6(F.max("z") - F.min("z")).alias("ptp_z"))
+    return raster.extent(view(spark, d, "points"), "flight").select("flight", *[N.r6(c).alias(c) for c in ("x0", "x1", "y0", "y1", "ptp_z")])
 
 
 @query("SELECT flight, CAST(trunc((max(x) - min(x) + 40) / 25e-2) AS INT) AS w, CAST(trunc((max(y) - min(y) + 40) / 25e-2) AS INT) AS h, round(min(x) - 20, 6) AS x0, round(max(y) + 20, 6) AS y1 FROM points GROUP BY flight", "points")
 def canvas_size(spark, d):
-    cut = lambda c: ((F.max(c) - F.min(c) + 40) / 0.25).cast("int")
-    return view(spark, d, "points").groupBy("flight").agg(cut("x").alias("w"), cut("y").alias("h"), N.r6(F.min("x") - 20).alias("x0"), N.r6(F.max("y") + 20).alias("y1"))
+    return raster.canvas(view(spark, d, "points"), "flight", 0.25, 20.0).select("flight", "w", "h", N.r6("x0").alias("x0"), N.r6("y1").alias("y1"))
 
 
 @query("SELECT greatest(least(CAST(trunc((x - 541005e0) / 5e-1) AS INT), 40), 0) AS ix, greatest(least(CAST(trunc((5214995e0 - y) / 5e-1) AS INT), 30), 0) AS iy, count(*) AS n FROM points GROUP BY 1, 2", "points")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
-from ..operators import compose, fits
+from ..operators import compose, fits, flightlines
 from .registering import query
 from .views import images, read, surface, view, views_of_pixels
 
@@ -16,19 +16,13 @@ from .views import images, read, surface, view, views_of_pixels
 def nadir_hist(spark, d):
     a = F.round(N.nadir_angle(F.sin(F.radians("tilt")), F.lit(0.0), -F.cos(F.radians("tilt"))), 6)
     x = view(spark, d, "poses").select(a.alias("a")).filter("a < 90")
-    edges = [(5, "00-05"), (10, "05-10"), (20, "10-20"), (30, "20-30"), (45, "30-45")]
-    bucket = F.lit("45-90")
-    for top, name in reversed(edges):
-        bucket = F.when(F.col("a") < top, name).otherwise(bucket)
-    return x.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return x.groupBy(flightlines.angle_histogram(F.col("a")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT round(median(z - (SELECT median(z) FROM points)) FILTER (WHERE z > (SELECT median(z) FROM points)) / 37005e-1, 9) AS gsd, count(*) AS cameras FROM poses", "points", "poses")
 def native_gsd(spark, d):
-    ground = view(spark, d, "points").agg(F.median("z").alias("g"))
-    agl = F.col("z") - F.col("g")
-    x = view(spark, d, "poses").crossJoin(F.broadcast(ground))  # one row
-    return x.agg(F.round(F.median(F.when(agl > 0, agl)) / 3700.5, 9).alias("gsd"), F.count(F.lit(1)).alias("cameras"))
+    x = flightlines.native_gsd(view(spark, d, "points"), view(spark, d, "poses"), 3700.5)
+    return x.select(F.round("gsd", 9).alias("gsd"), "cameras")
 
 
 @query("""SELECT round(CASE WHEN p.x0 < c.x0 - 30 THEN c.x0 - 30 ELSE p.x0 END, 6) AS x0, round(CASE WHEN p.x1 > c.x1 + 30 THEN c.x1 + 30 ELSE p.x1 END, 6) AS x1,
@@ -90,7 +84,7 @@ def depth_gate(spark, d):
 
 @query("SELECT k, round(greatest(z - 4305e-1, 1e0) * 2500 / 37005e-1 + 2, 6) AS radius FROM poses", "poses")
 def footprint_radius(spark, d):
-    return view(spark, d, "poses").select("k", N.r6(F.greatest(F.col("z") - 430.5, F.lit(1.0)) * 2500 / 3700.5 + 2).alias("radius"))
+    return view(spark, d, "poses").select("k", N.r6(flightlines.footprint_radius(F.col("z") - 430.5, 2500, 3700.5)).alias("radius"))
 
 
 _R, _T = [[0.0, -1.0, 0.0], [1.0, 0.0, 0.0], [0.0, 0.0, 1.0]], [541000.0, 5215000.0, 400.0]
