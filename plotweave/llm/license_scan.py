@@ -2,27 +2,29 @@
 
 A block is a window of 16 words (for templates of up to 12) or 48 (for longer ones), taken as the set of its words; blocks
 start at every fourth part of their length and run across line ends, so 13 or 37 words in a row always lie in one, however
-a notice is wrapped. A template matches a block that holds at least ``threshold`` of the template's words, among them all
-of its distinguishing words. Words are ordered by their frequency over the blocks of the whole corpus, rarest first, and
-three filters leave few pairs to verify:
+a notice is wrapped. A block and a template are linked where the block holds at least ``threshold`` of the template's words;
+the join returns every link. A link gives its label only where the block holds the template's distinguishing words too
+("released under the bsd license" is linked to the mit template, but isn't labelled mit); a template may have none. Words are
+ordered by their frequency over the blocks of the whole corpus, rarest first, and three filters leave few pairs to verify:
 
-* prefix: a match shares one of the template's ``n - need + 1`` rarest words, so only those are joined;
-* length: a block with fewer than ``need`` template words can't match;
+* prefix: a link shares one of the template's ``n - need + 1`` rarest words, so only those are joined;
+* length: a block with fewer than ``need`` template words can't be linked;
 * position: from the place of the shared word in both orders, the words still to come must suffice.
 
-Only template words can overlap, so blocks are cut to the templates' vocabulary first, and texts that don't hold enough
-words of any template have no blocks. That vocabulary, its counts and the prefix index are bounded by the templates, which
+Only template words can overlap, so blocks are cut to the templates' vocabulary first (distinguishing words included), and
+texts that don't hold enough words of any template have no blocks. That vocabulary, its counts and the prefix index are bounded by the templates, which
 are a parameter; they never grow with the documents. Each text is cut into words once.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import ALNUM, ascii_lower, column, materialise, text_key, whole_text
+from ._shared import ALNUM, LOWER, UPPER, ascii_lower, column, materialise, text_key, whole_text
 
 #: The phrases and their labels.
 PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
@@ -62,11 +64,16 @@ def phrase_places(words: Column, phrase: str) -> Column:
     return F.filter(at, lambda i: i.isNotNull())
 
 
+def template_words(text: str) -> list[str]:
+    """A template's words as ``words_of`` cuts a text's."""
+    return re.findall(ALNUM, text.translate(str.maketrans(UPPER, LOWER)))
+
+
 class Template:
     def __init__(self, tid: int, label: str, text: str, marks: str, threshold: float):
-        words = text.split(" ")
-        self.tid, self.label, self.words, self.marks = tid, label, sorted(set(words)), marks.split(" ")
-        self.need = math.ceil(threshold * len(self.words) - 1e-9)
+        words = template_words(text)
+        self.tid, self.label, self.words, self.marks = tid, label, sorted(set(words)), template_words(marks)
+        self.need = max(1, math.ceil(threshold * len(self.words) - 1e-9))
         self.size = BLOCKS[len(words) > SHORT_WORDS]
 
 
@@ -74,21 +81,22 @@ def _templates(templates, threshold: float) -> list[Template]:
     return [Template(k, *t, threshold) for k, t in enumerate(templates)]
 
 
+def _vocabulary(templates: list[Template]) -> list[str]:
+    return sorted({w for t in templates for w in (*t.words, *t.marks)})
+
+
 def _strings(words) -> Column:
-    return F.array(*[F.lit(w) for w in words])
+    return F.array(*[F.lit(w) for w in words]).cast("array<string>")
 
 
 def _could_match(have: Column, t: Template) -> Column:
-    """Whether a set of words has all that the template asks for."""
-    cond = F.size(F.array_intersect(have, _strings(t.words))) >= t.need
-    for mark in t.marks:
-        cond = F.array_contains(have, mark) & cond
-    return cond
+    """Whether a block of a text with this set of words can hold the threshold of the template's words."""
+    return F.size(F.array_intersect(have, _strings(t.words))) >= t.need
 
 
 def _marked(words: Column, have: Column, templates: list[Template]) -> Column:
-    """The words with null for those in no template; null where no template can match the whole text."""
-    vocabulary = sorted({w for t in templates for w in t.words})
+    """The words with null for those in no template; null where no template can be linked to the text."""
+    vocabulary = _vocabulary(templates)
     some = F.lit(False)
     for t in templates:
         some = some | _could_match(have, t)
@@ -108,17 +116,18 @@ def _prefix_index(blocks: DataFrame, templates: list[Template]) -> tuple[DataFra
     """Prefix index, and the vocabulary by rising frequency."""
     seen = blocks.select(F.explode("tokens").alias("token")).groupBy("token").count().collect()  # vocabulary only
     count = {r["token"]: r["count"] for r in seen}
-    order = sorted({w for t in templates for w in t.words}, key=lambda w: (count.get(w, 0), w))
+    order = sorted(_vocabulary(templates), key=lambda w: (count.get(w, 0), w))
     rank = {w: k for k, w in enumerate(order)}
     index = []
     for t in templates:
-        words = sorted(t.words, key=rank.get)
+        words = t.words = sorted(t.words, key=rank.get)
         index += [(w, t.tid, t.size, i, len(words), t.need) for i, w in enumerate(words[:len(words) - t.need + 1])]
     return blocks.sparkSession.createDataFrame(index, "token string, tid int, size int, i int, n int, need int"), order
 
 
 def template_matches(marked: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """``doc_id, tkey, size, block, label, template, containment`` for every block and template that match.
+    """``doc_id, tkey, size, block, label, template, containment, distinguished`` for every block and template that are
+    linked; ``distinguished``: the block holds the template's distinguishing words.
 
     ``marked``: rows of ``doc_id, tkey, marked``, see ``read_texts``."""
     kinds = _templates(templates, threshold)
@@ -137,17 +146,18 @@ def template_matches(marked: DataFrame, templates=TEMPLATES, threshold: float =
     of = lambda what: F.element_at(F.array(*what), F.col("tid") + 1)
     shared = F.size(F.array_intersect("tokens", of([_strings(t.words) for t in kinds])))
     marks = of([_strings(t.marks) for t in kinds])
-    return (pairs.withColumn("shared", shared)
-            .filter((F.col("shared") >= F.col("need")) & (F.size(F.array_except(marks, "tokens")) == 0))
+    prefix = of([_strings(t.words[:len(t.words) - t.need + 1]) for t in kinds])
+    return (pairs.withColumn("shared", shared).filter((F.col("shared") >= F.col("need")) & (F.array_intersect("tokens", prefix)[0] == F.col("token")))  # a pair comes once
             .select("doc_id", "tkey", "size", "block", of([F.lit(t.label) for t in kinds]).alias("label"),
-                    F.col("tid").alias("template"), (F.col("shared") / F.col("n")).alias("containment")))
+                    F.col("tid").alias("template"), (F.col("shared") / F.col("n")).alias("containment"),
+                    (F.size(F.array_except(marks, "tokens")) == 0).alias("distinguished")))
 
 
 def read_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES,
                threshold: float = 0.8) -> DataFrame:
     """One pass over the texts: ``doc_id, tkey, n_words, p0, p1 ..., marked``; ``p<k>`` are the places of phrase k."""
     lower = docs.select(column(id_col).alias("doc_id"), text_key(text_col).alias("tkey"), words_of(text_col).alias("words"))
-    vocabulary = sorted({w for _, p in phrases for w in p.split(" ")} | {w for _, text, _ in templates for w in text.split(" ")})
+    vocabulary = sorted({w for _, p in phrases for w in p.split(" ")} | set(_vocabulary(_templates(templates, threshold))))
     lower = lower.withColumn("have", F.array_intersect(_strings(vocabulary), "words"))
     none = F.array().cast("array<int>")
     places = []
@@ -161,11 +171,12 @@ def read_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES,
-                  templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """One row per input row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``.
+                  templates=TEMPLATES, threshold: float = 0.8, links: bool = False) -> DataFrame:
+    """One row per input row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``; with ``links``
+    also ``n_links``, the number of templates that a block of it is linked to, labelled or not.
 
     Null text is empty: 0 words, empty labels, score 0, null first and last. ``score`` is 1 where a phrase stands, else
-    the largest containment of a matching template, else 0. Rows equal in id and text get equal results, other columns
+    the largest containment of a link that gives its label, else 0. Rows equal in id and text get equal results, other columns
     of ``docs`` are ignored, empty input gives an empty result, work is linear in a text's words.
     """
     read = materialise(read_texts(docs, id_col, text_col, phrases, templates, threshold), "license-words")
@@ -175,13 +186,15 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                        F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
                        found.alias("base"))
     hits = (template_matches(read.select("doc_id", "tkey", "marked"), templates, threshold).groupBy("doc_id", "tkey")
-            .agg(F.collect_set("label").alias("more"), F.max("containment").alias("containment"))
-            .select(F.col("doc_id").alias("hit_id"), F.col("tkey").alias("hit_key"), "more", "containment"))
+            .agg(F.collect_set(F.when(F.col("distinguished"), F.col("label"))).alias("more"), F.max(F.when(F.col("distinguished"), F.col("containment"))).alias("containment"),
+                 F.size(F.collect_set("template")).cast("long").alias("n_links"))
+            .select(F.col("doc_id").alias("hit_id"), F.col("tkey").alias("hit_key"), "more", "containment", "n_links"))
     out = base.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("tkey") == F.col("hit_key")), "left")
     listed = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", listed(F.col("base")).alias("base_labels"),
                       listed(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))).alias("labels"),
-                      F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("containment", F.lit(0.0))).alias("score"))
+                      F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("containment", F.lit(0.0))).alias("score"),
+                      *[F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] * links)
 
 
 def sql(threshold: float = 0.8) -> str:

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -62,6 +63,34 @@ def test_wrapped_notices_and_short_templates(spark):
     assert got == {1: "mit", 2: "apache", 3: "", 4: "cc-by", 5: "bsd", 6: "mpl", 7: "mit", 8: "cc-by,cc-by-nc"}  # 7: by the phrase
 
 
+def test_no_license_link_at_the_threshold_is_lost(spark):
+    rng = random.Random(5)
+    own = (("plain", "use this as you like without any promise", ""), ("named", "Copying is allowed for Everyone here now", "acme"), *L.TEMPLATES)
+    texts = ["use this as you like without promise", "copying is allowed for everyone here now says acme", "copying is allowed for everyone here now",
+             "Released under the BSD license", "x " * 30 + L.TEMPLATES[0][1].replace("gnu ", "") + " y" * 30, None, "use this"]
+    texts += [" ".join(x for x in rng.choice(own)[1].split(" ") if rng.random() < 0.88) + " acme" * rng.randrange(2) for _ in range(60)]
+    docs = spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate(texts)] + [(0, texts[0], "en", "s")], SCHEMA)
+    want, marked = Counter(), {k: set() for k in range(len(texts))}
+    for k, t in enumerate(texts):
+        w = words(t)
+        for tid, (label, text, marks) in enumerate(own):
+            need, size = set(words(text)), 16 if len(words(text)) <= 12 else 48
+            for b, a in enumerate(range(0, len(w), size // 4)):
+                have = set(w[a:a + size])
+                if len(have & need) >= math.ceil(0.8 * len(need) - 1e-9):
+                    want[k, size, b, tid, have >= set(words(marks))] += 1 + (k == 0)
+                    marked[k] |= {label} if have >= set(words(marks)) else set()
+    read = L.read_texts(docs, templates=own)
+    links = L.template_matches(read.select("doc_id", "tkey", "marked"), own).collect()
+    assert Counter((r.doc_id, r["size"], r.block, r.template, r.distinguished) for r in links) == want
+    assert len({d for *_, d in want}) == 2
+    got = {r.doc_id: r for r in L.scan_licenses(docs, templates=own, links=True).collect()}
+    for k in got:
+        assert set(got[k].labels.split(",")) - {""} - set(got[k].base_labels.split(",")) <= marked[k] <= set(got[k].labels.split(",")) | {""}
+        assert got[k].n_links == len({tid for d, _, _, tid, _ in want if d == k})
+    assert got[0].labels == "plain" and got[1].labels == "named" and got[2].labels == got[3].labels == "" and got[2].n_links == got[3].n_links == 1
+
+
 def luhn(d):
     return sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
 
