@@ -201,6 +201,27 @@ def test_toxicity_report(spark):
     assert docs.filter(F.col("doc_id") < 0).count() == 0
 
 
+def test_training_takes_every_labelled_row_and_its_whole_text(spark):
+    data = [(t + " clean" * 4000 * y, y, lang) for t, y, lang in labelled(300, 6)]  # toxic texts have over 20,000 characters
+    rows = [(k, t, lang, "s") for k, (t, _, lang) in enumerate(data)]
+    docs, labels = spark.createDataFrame(rows + rows[:20], SCHEMA), spark.createDataFrame([(k, v) for k, (_, v, _) in enumerate(data)], "doc_id long, toxic int")
+    s = X.Settings(buckets=1 << 12)
+    m = X.fit(docs, labels, settings=s)
+    fold = {k: zlib.crc32(str(k).encode()) % 5 for k in range(300)}
+    assert not m.flat
+    held = [k for k in fold if fold[k] == 0]
+    got = X.Scorer(m).scores([data[k][0] for k in held]) >= 0.5
+    assert np.mean(got == [data[k][1] == 1 for k in held]) > 0.85
+    # statistics are those of all rows however they are dealt, and training doesn't depend on where rows lie
+    one, dealt = X.replace(s, epochs=0), X.replace(s, epochs=2, shard_rows=20)
+    want = X.train([data[k] for k in fold if fold[k] > 1], one, [data[k] for k in fold if fold[k] == 1])
+    some = X.fit(docs, labels, settings=X.replace(one, shard_rows=20))
+    assert np.array_equal(some.emb, want.emb) and np.array_equal(some.lang_logp, want.lang_logp) and np.allclose(some.thresholds, want.thresholds)
+    a, b = X.fit(docs, labels, settings=dealt), X.fit(docs.repartition(7), labels.repartition(3), settings=dealt)
+    assert not np.allclose(a.emb, want.emb)
+    assert np.array_equal(X.flattened(a), X.flattened(b)) and np.array_equal(a.thresholds, b.thresholds)
+
+
 def test_running_sums(spark):
     for n in (1, 2, 3, 4, 5, 17, 100, 1000):
         assert spark.range(1).select(P._running(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: k % 7)).alias("s")).first().s == np.cumsum(np.arange(1, n + 1) % 7).tolist()
