@@ -15,8 +15,9 @@ statistics of the training languages. Nothing but the text enters a score.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field, replace
+from itertools import count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from pyspark.sql import types as T
 from ._shared import broadcast_if_small, column, discard, map_whole_rows, materialise, shuffle_cleanup, whole_text
 
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Latin-1 with all but its letters made blanks.
+LATIN = "".join(chr(k) if LETTERS.fullmatch(chr(k)) else " " for k in range(256)).encode("latin-1")
 
 
 @dataclass(frozen=True)
@@ -51,13 +54,37 @@ class Settings:
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
-
-
-def hashed_forms(word: str, s: Settings) -> list[int]:
-    """Bucket of the word, then one of each beginning (the word itself where it is shorter)."""
-    return [xxhash.xxh32_intdigest("=" + word) % s.buckets,
-            *(xxhash.xxh32_intdigest(word[:n] if len(word) >= n else "=" + word) % s.buckets for n in s.beginnings)]
+    """Runs of letters in lower case."""
+    if not text:
+        return []
+    text = text.lower()
+    try:
+        return text.encode("latin-1").translate(LATIN).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return LETTERS.findall(text)
+
+
+def numbered(keys: list[str] = ()) -> defaultdict:
+    """``keys`` by their place; each new key gets the number of keys before it."""
+    return defaultdict(count(len(keys)).__next__, zip(keys, range(len(keys))))
+
+
+def hashed_forms(words: list[str] | str, s: Settings) -> np.ndarray:
+    """A row a word (one word: its row): bucket of the word, then one of each beginning (the word itself where it is shorter)."""
+    if isinstance(words, str):
+        return hashed_forms([words], s)[0]
+    top = max(s.beginnings, default=1)
+    out = np.empty((len(words), 1 + len(s.beginnings)), np.int32)
+    out[:, 0] = np.fromiter((xxhash.xxh32_intdigest("=" + w) for w in words), np.int64, len(words)) % s.buckets
+    letters = np.array(words, f"U{top}").view(np.uint32).reshape(len(words), top)  # zeros follow a shorter word
+    state = np.full(len(words), s.seed + 1, np.uint64)
+    for n in range(1, top + 1):
+        state = (state ^ letters[:, n - 1]) * np.uint64(0x9E3779B97F4A7C15)
+        state ^= state >> np.uint64(29)
+        for k in (k for k, size in enumerate(s.beginnings, 1) if size == n):
+            mixed = (state * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
+            out[:, k] = np.where(letters[:, n - 1] > 0, mixed % np.uint64(s.buckets), out[:, 0])
+    return out
 
 
 @dataclass
@@ -73,28 +100,34 @@ class Model:
     thresholds: np.ndarray | None = None   # a logit for each language
     flat: bool = False       # trained on one class only: scores are 0
 
+    def kernel(self) -> np.ndarray:
+        """All filters at all their offsets, side by side."""
+        return np.concatenate([w[k] for w in self.conv for k in range(len(w))], axis=1)
+
     def project(self, forms: np.ndarray) -> np.ndarray:
-        """What each word adds to each filter at each offset; then the language log-probabilities."""
-        x = self.emb[forms].sum(axis=1)
-        parts = [x @ w[k] for w in self.conv for k in range(len(w))]
-        return np.concatenate([*parts, self.lang_logp[forms[:, 0] % len(self.lang_logp)]], axis=1).astype(np.float32)
+        """A column a word: what it adds to each filter at each offset; then the language log-probabilities."""
+        x = summed(self.emb, forms)
+        return np.concatenate([self.kernel().T @ x.T, self.lang_logp[forms[:, 0] % len(self.lang_logp)].T]).astype(np.float32)
 
-    def pool(self, rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``rows``: projections of all words of some texts (none of them empty), one after another.
+    def pool(self, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``words``: projections of all words of some texts (none of them empty), one after another.
 
         Maxima of the filters' sums, and summed language log-probabilities, per text. A text shorter than a filter is
         padded with nothing."""
         s, f = self.settings, self.settings.filters
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        left = np.repeat(starts + sizes, sizes) - np.arange(len(rows))  # words from here to the text's end
-        maxima, col = [], 0
+        ends = np.cumsum(sizes)
+        starts, at = ends - sizes, 0
+        maxima, last = [], np.zeros(0, np.int64)
+        lasts = [last := np.concatenate([last, ends[sizes >= k] - k]) for k in range(1, max(s.widths))]  # each text's last k words
         for w in s.widths:
-            total = rows[:, col:col + f].copy()
-            for k in range(1, w):
-                total[:-k] += np.where(left[:-k, None] > k, rows[k:, col + k * f:col + (k + 1) * f], 0)
-            col += w * f
-            maxima.append(np.maximum.reduceat(total, starts, axis=0))
-        return np.concatenate(maxima, axis=1), np.add.reduceat(rows[:, col:], starts, axis=0)
+            total = words[at:at + f].copy()
+            for k, last in enumerate(lasts[:w - 1], 1):
+                held = total[:, last]
+                total[:, :-k] += words[at + k * f:at + (k + 1) * f, k:]
+                total[:, last] = held  # what follows is another text
+            at += w * f
+            maxima.append(np.maximum.reduceat(total, starts, axis=1))
+        return np.concatenate(maxima).T, np.add.reduceat(words[at:], starts, axis=1).T
 
     def head(self, maxima: np.ndarray) -> np.ndarray:
         return np.maximum(maxima + self.bias, 0) @ self.out + self.out_bias
@@ -104,26 +137,35 @@ class Scorer:
     """Scores texts by pieces of bounded size; projections of frequent words are kept."""
 
     def __init__(self, model: Model, piece: int = 100_000):
-        self.m, self.piece, self.seen, self.table = model, piece, {}, None
+        self.m, self.piece, self.seen = model, piece, numbered()
+        self.table, self.uses = None, np.zeros(0, np.int64)  # a column and a count for each word in ``seen``
+
+    def _forget(self) -> None:
+        """The half that was used least goes."""
+        words, n = list(self.seen), self.m.settings.cache // 2
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[:n])
+        self.seen = numbered([words[k] for k in keep])
+        for row in self.table:
+            row[:len(keep)] = row[keep]
+        self.uses = self.uses[keep] // 2
 
     def _index(self, words: list[str]) -> np.ndarray:
-        seen = self.seen
-        if len(seen) > self.m.settings.cache:
-            seen.clear()
-            self.table = None
-        fresh = [w for w in set(words) if w not in seen]
-        if fresh:
-            for w in fresh:
-                seen[w] = len(seen)
-            rows = self.m.project(np.array([hashed_forms(w, self.m.settings) for w in fresh], np.int64))
-            at = len(seen) - len(fresh)
-            if self.table is None or len(seen) > len(self.table):
-                grown = np.zeros((max(2 * len(seen), 4096), rows.shape[1]), np.float32)
-                if self.table is not None:
-                    grown[:at] = self.table[:at]
+        s = self.m.settings
+        if len(self.seen) > s.cache:
+            self._forget()
+        seen, old = self.seen, len(self.seen)
+        at = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+        if fresh := len(seen) - old:
+            columns = self.m.project(hashed_forms(list(islice(reversed(seen), fresh))[::-1], s))
+            if self.table is None or len(seen) > self.table.shape[1]:
+                grown = np.zeros((len(columns), max(2 * s.cache, 2 * len(seen))), np.float32)  # memory is taken as it is filled
+                if old:
+                    grown[:, :old] = self.table[:, :old]
                 self.table = grown
-            self.table[at:at + len(fresh)] = rows
-        return np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+            self.table[:, old:len(seen)] = columns
+            self.uses = np.concatenate([self.uses, np.zeros(fresh, np.int64)])
+        self.uses += np.bincount(at, minlength=len(seen))
+        return at
 
     def logits(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Logit and language of each text. Long texts go in pieces that overlap by the widest filter."""
@@ -135,7 +177,7 @@ class Scorer:
 
         def flush():
             if words:
-                mx, lg = m.pool(self.table_rows(words), np.array(sizes))
+                mx, lg = m.pool(self.columns(words), np.array(sizes))
                 maxima.append(mx)
                 langs.append(lg)
                 words.clear()
@@ -164,9 +206,9 @@ class Scorer:
         best[empty] = -m.bias - 1  # no word, nothing found
         return m.head(best), total.argmax(axis=1)
 
-    def table_rows(self, words: list[str]) -> np.ndarray:
+    def columns(self, words: list[str]) -> np.ndarray:
         at = self._index(words)
-        return self.table[at]
+        return np.take(self.table, at, axis=1)
 
     def scores(self, texts) -> np.ndarray:
         """0 to 1; the language's threshold is moved to 0.5."""
@@ -198,23 +240,26 @@ class Shard:
 
 def shard_of(rows, s: Settings) -> Shard:
     """``rows``: (text, label, language)."""
-    vocab: dict[str, int] = {}
-    docs, y = [], []
+    vocab, docs, y = numbered(), [], []
     for text, label, _ in rows:
-        docs.append(np.fromiter((vocab.setdefault(w, len(vocab)) for w in words_of(text)), np.int32))
+        words = words_of(text)
+        docs.append(np.fromiter(map(vocab.__getitem__, words), np.int32, len(words)))
         y.append(label)
-    forms = np.array([hashed_forms(w, s) for w in vocab], np.int32).reshape(-1, 1 + len(s.beginnings))
-    return Shard(np.concatenate(docs) if docs else np.zeros(0, np.int32), np.array([len(d) for d in docs], np.int64), np.array(y, np.float32), forms)
+    return Shard(np.concatenate(docs) if docs else np.zeros(0, np.int32), np.array([len(d) for d in docs], np.int64), np.array(y, np.float32), hashed_forms(list(vocab), s))
 
 
 def statistics(shard: Shard, langs: list[int], n_langs: int, s: Settings) -> np.ndarray:
     """Texts without and with the label that hold each hashed form, then each language's words by bucket, in one line."""
     held = np.zeros((2, s.buckets), np.int64)
-    counts = np.zeros((n_langs, s.lang_buckets), np.int64)
-    for d, label, lang in zip(np.split(shard.tokens, np.cumsum(shard.sizes)[:-1]), shard.y, langs):
-        held[int(label), np.unique(shard.forms[np.unique(d)])] += 1
-        counts[lang] += np.bincount(shard.forms[d, 0] % s.lang_buckets, minlength=s.lang_buckets)
-    return np.concatenate([held.ravel(), counts.ravel()])
+    there = np.zeros(s.buckets, bool)
+    for d, label in zip(np.split(shard.tokens, np.cumsum(shard.sizes)[:-1]), shard.y):
+        there[shard.forms[d]] = True
+        buckets = np.flatnonzero(there)
+        held[int(label), buckets] += 1
+        there[buckets] = False
+    word = (shard.forms[:, 0] % s.lang_buckets)[shard.tokens]
+    counts = np.bincount(np.repeat(np.array(langs, np.int64), shard.sizes) * s.lang_buckets + word, minlength=n_langs * s.lang_buckets)
+    return np.concatenate([held.ravel(), counts])
 
 
 def start(stats: np.ndarray, langs: list[str], p: float, s: Settings) -> Model:
@@ -251,6 +296,47 @@ def at_rest(m: Model) -> np.ndarray:
     return np.concatenate([flat, np.zeros(2 * len(flat) + 1, np.float32)])
 
 
+def summed(emb: np.ndarray, forms: np.ndarray) -> np.ndarray:
+    """The sum of the embeddings in each row."""
+    out = np.take(emb, forms[:, 0], axis=0)
+    for k in range(1, forms.shape[1]):
+        out += np.take(emb, forms[:, k], axis=0)
+    return out
+
+
+def peaks(columns: np.ndarray, words: np.ndarray, sizes: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The largest sum of each filter in each text (none of them empty), and the word where it starts, the first of equals.
+
+    ``columns``: what each word adds to each filter at each offset; ``words``: the columns of all texts' words, one after
+    another. They are looked at ``piece`` words at a time, long texts in pieces, none cut short."""
+    f, ends = s.filters, np.cumsum(sizes)
+    best, place = np.full((len(sizes), len(s.widths) * f), -np.inf, np.float32), np.zeros((len(sizes), len(s.widths) * f), np.int64)
+    a = 0
+    while a < len(words):
+        q, stop = np.searchsorted(ends, (a, a + s.piece), side="right")
+        b = int(ends[stop - 1]) if stop > q else a + s.piece
+        texts = np.arange(q, max(stop, q + 1))
+        edges = np.append(np.maximum(ends[texts] - sizes[texts], a), b) - a
+        g = np.take(columns, words[a:b + max(s.widths) - 1], axis=1)
+        lasts, at = [np.zeros(0, np.int64)], 0
+        for k in range(1, max(s.widths)):
+            last = ends[texts][sizes[texts] >= k] - k
+            lasts.append(np.concatenate([lasts[-1], last[(last >= a) & (last < b)] - a]))  # the next word but k - 1 is another text's
+        for i, w in enumerate(s.widths):
+            total = g[at:at + f, :b - a].copy()
+            for k in range(1, w):
+                held, n = total[:, lasts[k]], min(b - a, g.shape[1] - k)
+                total[:, :n] += g[at + k * f:at + (k + 1) * f, k:k + n]
+                total[:, lasts[k]] = held
+            at += w * f
+            here = np.array([low + total[:, low:high].argmax(axis=1) for low, high in pairwise(edges.tolist())])
+            value, cols = total[np.arange(f), here], slice(i * f, (i + 1) * f)
+            place[texts, cols] = np.where(value > best[texts, cols], a + here, place[texts, cols])
+            best[texts, cols] = np.maximum(best[texts, cols], value)
+        a = b
+    return best, place
+
+
 def epoch(m: Model, state: np.ndarray, shard: Shard, p: float, seed: list[int]) -> np.ndarray:
     """The state after one pass of Adam over the shard's rows."""
     flat, first, second = state[:-1].reshape(3, -1)
@@ -282,36 +368,18 @@ def epoch(m: Model, state: np.ndarray, shard: Shard, p: float, seed: list[int])
         step += 1
         words, inverse = np.unique(np.concatenate([shard.tokens[ends[k] - shard.sizes[k]:ends[k]] for k in at]), return_inverse=True)
         stops = np.cumsum(shard.sizes[at])
-        x = m.emb[shard.forms[words]].sum(axis=1)
+        x = summed(m.emb, shard.forms[words])
         grad_x = np.zeros_like(x)
-        maxima, where = [], []
-        for c in m.conv:
-            adds = [x @ ck for ck in c]
-            best = np.full((len(at), s.filters), -np.inf, np.float32)
-            place = np.zeros((len(at), s.filters), np.int64)
-            for q, (end, size) in enumerate(zip(stops, shard.sizes[at], strict=True)):
-                for a in range(end - size, end, s.piece):  # texts of any length, whole
-                    b = min(a + s.piece, end)
-                    total = adds[0][inverse[a:b]]
-                    for k in range(1, len(c)):
-                        n = min(b, end - k) - a
-                        if n > 0:
-                            total[:n] += adds[k][inverse[a + k:a + k + n]]
-                    here = total.argmax(axis=0)
-                    value = total[here, np.arange(s.filters)]
-                    place[q] = np.where(value > best[q], a + here, place[q])
-                    best[q] = np.maximum(best[q], value)
-            where.append(place)
-            maxima.append(best)
-        z = np.concatenate(maxima, axis=1) + m.bias
+        best, where = peaks(m.kernel().T @ x.T, inverse, shard.sizes[at], s)
+        z = best + m.bias
         h = np.maximum(z, 0)
         logit = h @ m.out + m.out_bias
         g = ((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[at]) * weight[at] / len(at)).astype(np.float32)
         gz = np.where(z > 0, g[:, None] * m.out, 0)
         grads = {"out": h.T @ g, "bias": gz.sum(axis=0)}
         col = 0
-        for k, (c, place) in enumerate(zip(m.conv, where, strict=True)):
-            gk = gz[:, col:col + s.filters]
+        for k, c in enumerate(m.conv):
+            gk, place = gz[:, col:col + s.filters], where[:, col:col + s.filters]
             col += s.filters
             gc = np.zeros_like(c)
             for j in range(len(c)):
@@ -324,7 +392,7 @@ def epoch(m: Model, state: np.ndarray, shard: Shard, p: float, seed: list[int])
             grads[f"conv{k}"] = gc
         for key, value in grads.items():
             adam(key, value)
-        touched = np.flatnonzero(np.abs(grad_x).sum(axis=1))
+        touched = np.flatnonzero(grad_x.any(axis=1))
         if len(touched):
             buckets, inv = np.unique(shard.forms[words[touched]], return_inverse=True)
             ge = np.zeros((len(buckets), s.dims), np.float32)

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from plotweave.llm import license_scan as L
@@ -319,3 +320,64 @@ def test_scores_against_a_forward_pass_by_hand():
 def test_one_class_gives_scores_of_zero():
     m = X.train([("a b c", 1, "en"), ("d e", 1, "fr")], X.Settings(buckets=1 << 10, epochs=1))
     assert X.Scorer(m).scores(["a b c", None, "zz"]).tolist() == [0, 0, 0]
+
+
+def test_a_word_is_hashed_once_while_it_is_in_use(monkeypatch):
+    class Counted:
+        def __init__(self):
+            self.seen = Counter()
+
+        def xxh32_intdigest(self, text):
+            self.seen[text] += 1
+            return xxhash.xxh32_intdigest(text)
+
+    s = X.Settings(buckets=1 << 11, epochs=1, cache=500)
+    m = X.train(labelled(60, 13), s)
+    name = lambda k: "word" + "".join(chr(97 + int(c)) for c in str(k))
+    texts = [f"often {' '.join(name(k) for k in range(a, a + 100))} usual" for a in range(0, 5000, 100)]
+    want = X.Scorer(m, piece=10**9).logits(texts)
+    counted = Counted()
+    monkeypatch.setattr(X, "xxhash", counted)
+    got = X.Scorer(m, piece=100).logits(texts)  # the cache overflows about twenty times
+    assert np.allclose(got[0], want[0], atol=1e-4) and (got[1] == want[1]).all()
+    assert counted.seen["=often"] == counted.seen["=usual"] == 1
+    assert counted.seen.total() == 5002  # beginnings are hashed as columns, not one by one
+
+
+def test_words_are_the_runs_of_letters_whatever_the_alphabet():
+    every = [chr(k) for k in range(0x110000)]
+    for text in ("-".join(every[:256]), "".join(every[:256]), "a".join(every[:0x3000]), "é1ü_ß\xa0ª²x\x85y", "Straße’s İ ΑΣ", "\ud800a", "", "12"):
+        assert X.words_of(text) == X.LETTERS.findall(text.lower())
+    assert X.words_of(None) == []
+
+
+def test_beginnings_share_a_bucket_and_short_words_have_their_own():
+    s = X.Settings()
+    words = ["abcdefgh", "abcdefgz", "abcdefg", "abcx", "abc", "ab", "é", "Ωmega" * 10_000]
+    forms = X.hashed_forms(words, s)
+    for a, u in zip(words, forms):
+        assert (X.hashed_forms(a, s) == u).all() and ((0 <= u) & (u < s.buckets)).all()
+        assert all(u[k] == u[0] for k, n in enumerate(s.beginnings, 1) if len(a) < n)
+        for b, v in zip(words, forms):
+            for k, n in enumerate(s.beginnings, 1):
+                if min(len(a), len(b)) >= n:
+                    assert (u[k] == v[k]) == (a[:n] == b[:n])
+    some = X.hashed_forms([f"{a}{b}{c}dxyz" for a in "abcdefghijklmno" for b in "abcdefghijklmno" for c in "abcdefghijklmno"], s)
+    assert len(np.unique(some[:, 1])) > 3200  # of 3,375 beginnings in 65,536 buckets
+
+
+def test_peaks_against_every_place():
+    rng = np.random.default_rng(3)
+    for widths, piece in (((1, 2, 3), 100_000), ((1, 2, 3), 4), ((2, 5), 3), ((1,), 1)):
+        s = X.Settings(widths=widths, filters=2, piece=piece)
+        columns = rng.integers(-3, 4, (2 * sum(widths), 9)).astype(np.float32)  # small whole numbers: ties are frequent
+        sizes = rng.integers(1, 14, 40)
+        words, ends = rng.integers(0, 9, sizes.sum()), np.cumsum(sizes)
+        best, place = X.peaks(columns, words, sizes, s)
+        for q, (end, size) in enumerate(zip(ends, sizes)):
+            at = 0
+            for i, w in enumerate(widths):
+                for f in range(2):
+                    sums = [sum(columns[at + 2 * k + f, words[p + k]] for k in range(w) if p + k < end) for p in range(end - size, end)]
+                    assert best[q, 2 * i + f] == max(sums) and place[q, 2 * i + f] == end - size + int(np.argmax(sums))
+                at += 2 * w
